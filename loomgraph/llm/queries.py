@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import byte_bpe, secret_scan
+from loomgraph.llm import byte_bpe, packing, secret_scan, simhash_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +24,21 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.groups(_table(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_simhash": op9_simhash,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
