@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import byte_bpe, packing, secret_scan, simhash_dedup
+from loomgraph.llm import byte_bpe, flac, packing, quality_rules, secret_scan, simhash_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,19 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(_table(spark, sf_dir, "documents"))
 
 
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts that the labels call good and not toxic."""
+    return _table(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0").selectExpr("doc_id AS id")
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.digest(_table(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
+
+
+def op6_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flac.digest(_table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -36,6 +49,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_flac": op6_flac,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
