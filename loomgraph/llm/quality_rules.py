@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Hash buckets of the n-grams, and the score below which a text is rejected.
-BUCKETS, THRESHOLD = 1 << 14, -1.0
+BUCKETS, THRESHOLD = 1 << 12, -0.1
 
 #: The white space that parts words.
 _SPACE = "\t\n\x0b\x0c\r "
