@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import byte_bpe, flac, packing, quality_rules, secret_scan, simhash_dedup
+from loomgraph.llm import byte_bpe, flac, packing, quality_rules, secret_scan, simhash_dedup, warc_index
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(_table(spark, sf_dir, "documents"))
 
 
+def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_index.digest(_table(spark, sf_dir, "pages"))
+
+
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The texts that the labels call good and not toxic."""
     return _table(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0").selectExpr("doc_id AS id")
@@ -49,6 +53,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
+    "op4_warc_index": op4_warc_index,
     "op5_quality_rules": op5_quality_rules,
     "op6_flac": op6_flac,
     "op8_byte_bpe": op8_byte_bpe,
