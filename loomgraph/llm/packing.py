@@ -21,11 +21,15 @@ gives an empty table; columns other than the id and the text are not read.
 from __future__ import annotations
 
 import os
+import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +38,16 @@ from pyspark.sql import types as T
 from loomgraph.llm.common import each_slice, fields, written
 
 #: Words whose ids a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
+#: Text bytes that are encoded together.
+TEXT_BYTES = 4_000_000
+
+_LETTERS = re.compile("[a-z\xdf-\xf6\xf8-\xff]+").fullmatch
+#: Byte-level models spell a byte that is no visible Latin-1 character as one from 256 on; these are what the
+#: letters above take in UTF-8.
+_HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+_SPELT = {b: chr(256 + _HIDDEN.index(b)) if b in _HIDDEN else chr(b) for b in range(256)}
+_BYTE_LETTERS = {c: "".join(_SPELT[b] for b in chr(c).encode()) for c in range(0xDF, 0x100)}
 
 
 class WordTokenizer:
@@ -43,43 +56,95 @@ class WordTokenizer:
     The tokenizer drops white space and never joins what it separates, so a
     text's ids are those of its space-separated words, one after another.
     Likewise it lower-cases, and parts closing punctuation from a letter or
-    digit before it, so that variants of an ASCII word share their stem's ids.
+    digit before it, so that variants of a word share their stem's ids.  A stem
+    of Latin letters is one unit of the merges; it goes to the tokenizer's
+    model directly, which a few probes confirm to be the same.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ordinary: bool = False):
+        """``ordinary``: take the special tokens' strings in a text as ordinary text."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.stems: dict[bytes, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> None:
-        split = {}
+        self.tokenizer.encode_special_tokens = ordinary
+        self.model = self.tokenizer.model
+        self.direct = all(
+            self._merged(probe) == self.tokenizer.encode(probe, add_special_tokens=False).ids
+            for probe in ("a", "word", "abcdefghijklmnopqrstuvwxyz", "été", "straße", "mañana")
+        )
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {"": 0}
+        self.size = np.zeros(1, np.int64)
+        self.start = np.zeros(1, np.int64)
+        self.pool = np.zeros(0, np.uint32)
+
+    def _merged(self, stem: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(stem if stem.isascii() else stem.translate(_BYTE_LETTERS))]
+
+    def _add(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
+        self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(sizes) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.pool = np.concatenate([self.pool, ids])
+
+    def learn(self, words: list[str]) -> None:
+        plain: dict[str, None] = {}
+        odd: dict[str, None] = {}
+        split = []
         for word in words:
-            stem = word.rstrip(b",.;:!?")
-            if stem.isascii() and stem[-1:].isalnum():
-                split[word] = (stem.lower(), word[len(stem) :])
+            stem = word.rstrip(",.;:!?")
+            low = stem.lower()
+            if self.direct and _LETTERS(low):
+                plain[low] = None
+            elif stem.isascii() and stem[-1:].isalnum():
+                odd[low] = None
             else:
-                split[word] = (word, b"")
-        if len(self.stems) > REMEMBERED:
-            self.stems.clear()
-        new = list({x for two in split.values() for x in two} - self.stems.keys())
-        for stem, found in zip(new, self.tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False), strict=True):
-            self.stems[stem] = b"".join([i.to_bytes(4, "little") for i in found.ids])
-        for word, (stem, tail) in split.items():
-            self.known[word] = self.stems[stem] + self.stems[tail] if tail else self.stems[stem]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Each text's ids, packed as little-endian unsigned 32-bit integers."""
-        cut = [t.encode().split() if t else [] for t in texts]  # bytes split at ASCII white space only
-        new = set().union(*cut) - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = set().union(*cut)
+                odd[word] = None
+                continue
+            if low != word:
+                tail = word[len(stem) :]
+                odd[tail] = None
+                split.append((word, low, tail))
+        known = self.known
+        new = [w for w in plain if w not in known]
+        lists = [*map(self._merged, new)]
+        rest = [w for w in odd if w not in known and w not in plain]
+        lists += [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+        new += rest
+        if new:
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            self._add(new, sizes, np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())))
+        more = [x for x in split if x[0] not in known]
+        if more:
+            pairs = np.array([[known[low], known[tail]] for _, low, tail in more]).ravel()
+            ids, _ = self.gather(pairs)
+            self._add([x[0] for x in more], self.size[pairs].reshape(-1, 2).sum(1), ids)
+
+    def gather(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words given by number, one after another, and where each ends."""
+        size = self.size[words]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.pool[np.arange(total) + np.repeat(self.start[words] - ends + size, size)], ends
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text; null has none."""
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words = pc.dictionary_encode(lists.flatten())
+        distinct = words.dictionary.to_pylist()
+        new = [w for w in distinct if w not in self.known]
+        if len(self.known) + 2 * len(new) > REMEMBERED:
+            self.forget()
+            new = [w for w in distinct if w]
         if new:
             self.learn(new)
-        return [b"".join(map(self.known.__getitem__, ws)) for ws in cut]
+        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        flat, ends = self.gather(number[words.indices.to_numpy()])
+        cuts = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        return np.split(flat, np.r_[0, ends][cuts[:-1]])
 
 
 @lru_cache(maxsize=2)
@@ -107,10 +172,10 @@ def pieces(df: DataFrame, path: str, end_id: int = 1, capacity: int = 4096, id_c
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, part, seen = _tokenizer(path), TaskContext.get().partitionId(), Counter()
-        for some in each_slice(batches, text_col):
+        for some in each_slice(batches, text_col, TEXT_BYTES):
             row, piece, start, length, ids, nth = [], [], [], [], [], []
-            for i, packed in enumerate(tokenizer.encode(some.column(1).to_pylist())):
-                packed += end
+            for i, found in enumerate(tokenizer.encode(some.column(1))):
+                packed = found.tobytes() + end
                 for k, at in enumerate(range(0, len(packed), step)):
                     one = packed[at : at + step]
                     n = len(one) // 4
