@@ -7,6 +7,7 @@ driver share.  Nothing here uses machine-local folders on a cluster.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -60,6 +61,15 @@ def discard(spark: SparkSession, *paths: str) -> None:
         target.getFileSystem(conf).delete(target, True)
 
 
+def open_folder(uri: str):
+    """The file system and path of a folder given by URI or plain path, on driver or executor."""
+    from pyarrow import fs
+
+    if re.match(r"[a-z0-9+.-]+:", uri):
+        return fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
+    return fs.LocalFileSystem(), uri
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of about ``most`` bytes of ``column``, at least a row each."""
     lengths = batch.column(column)

@@ -6,17 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import byte_bpe, flac, packing, quality_rules, secret_scan, simhash_dedup, warc_index
+from loomgraph.llm import byte_bpe, flac, packing, quality_rules, secret_scan, simhash_dedup, substring_dedup, token_counts, url_filters, warc_index
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    # 49407 closes documents
+    return token_counts.count(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 49407)
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(_table(spark, sf_dir, "documents"))
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(_table(spark, sf_dir, "pages"))
+
+
 def op4_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_index.digest(_table(spark, sf_dir, "pages"))
 
@@ -34,6 +45,10 @@ def op6_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flac.digest(_table(spark, sf_dir, "documents"))
 
 
+def op7_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.passages(_table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -52,13 +67,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_separator_scan": op1_separator_scan,
     "op2_secret_scan": op2_secret_scan,
+    "op3_url_filters": op3_url_filters,
     "op4_warc_index": op4_warc_index,
     "op5_quality_rules": op5_quality_rules,
     "op6_flac": op6_flac,
+    "op7_compact_windows": op7_compact_windows,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_simhash": op9_simhash,
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_url_filters": url_filters.oracle_sql(),
+}

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomgraph.llm.common import discard, scratch_path, written
+from loomgraph.llm.common import discard, open_folder, scratch_path, written
 
 #: Lines of a block of the index, and records of a shard.
 LINES, SHARD = 1000, 100_000
@@ -48,15 +48,6 @@ LINES, SHARD = 1000, 100_000
 DATE = "2000-01-01T00:00:00Z"
 
 
-def _files(uri: str):
-    """The file system and path of a URI or plain path."""
-    from pyarrow import fs
-
-    if "://" in uri or uri.startswith("file:"):
-        return fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
-    return fs.LocalFileSystem(), uri
-
-
 def url_key(url: str | None) -> str:
     """The URL with its host reversed, so that a site's pages sort together; no spaces."""
     if url is None:
@@ -153,7 +144,7 @@ def write(df: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_
 
     def put(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        files, base = _files(folder)
+        files, base = open_folder(folder)
         files.create_dir(base, recursive=True)
         name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}.warc.gz"
         at, out = 0, None
@@ -181,7 +172,7 @@ def write(df: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_
 
     def index(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
-        files, base = _files(folder)
+        files, base = open_folder(folder)
         name = f"index-{task.partitionId():06d}-{task.taskAttemptId()}"
         held: list[str] = []
         directory: list[tuple[str, int, int]] = []
@@ -237,7 +228,7 @@ def lookup(archive: Archive, queries: DataFrame, id_col: str = "page_id", url_co
             yield pa.RecordBatch.from_pydict({"shard": pa.array([p[0] for p in pairs], pa.int32()), "key": pa.array([p[1] for p in pairs], pa.string())})
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, base = _files(folder)
+        files, base = open_folder(folder)
         opened: dict[str, object] = {}
         at_shard = at_block = None
         directory: list = []
