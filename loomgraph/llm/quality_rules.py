@@ -2,7 +2,8 @@
 
 Every word and pair of neighbouring words of a text falls in one of ``BUCKETS``
 hash buckets.  Two multinomials over the buckets are counted with add-one
-smoothing: one over the trusted texts, one over all texts.  A text's score is the
+smoothing: one over the trusted texts, of which a sample of at most ``TRUSTED``
+by the hash of their ids is taken, and one over all texts.  A text's score is the
 mean over its n-grams of log(trusted share / corpus share); a text whose score
 is below a fixed threshold is rejected.  Counting shuffles at most one row a
 bucket and task; the scores need one pass over the texts and the buckets' weights.
@@ -10,8 +11,8 @@ bucket and task; the scores need one pass over the texts and the buckets' weight
 Word triples are compared by 64-bit hash within a text.
 
 Edge cases: a null or empty text has no words, all counts 0, fails the base
-rules and is not kept; without trusted texts both multinomials are the
-corpus's smoothed one against a flat one, and the threshold still applies;
+rules and is not kept; without trusted texts the ratio is of
+a flat one against the corpus's smoothed one, and the threshold still applies;
 repeated rows and null ids pass through; null labels are not trusted; an
 empty table gives an empty table; columns other than those named are not read.
 """
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 
 #: Hash buckets of the n-grams, and the score below which a text is rejected.
 BUCKETS, THRESHOLD = 1 << 12, -0.1
+#: Trusted texts that the target multinomial is fitted on at most; their ids are broadcast.
+TRUSTED = 50_000
 
 #: The white space that parts words.
 _SPACE = "\t\n\x0b\x0c\r "
@@ -114,14 +117,16 @@ def judge(
     text_col: str = "text",
     threshold: float = THRESHOLD,
     buckets: int = BUCKETS,
+    most_trusted: int = TRUSTED,
 ) -> DataFrame:
     """All columns of ``df`` and a struct ``judged`` of the counts, the score and the verdict.
 
     ``trusted`` holds the ids, column ``id``, of the trusted texts.
     """
     ids = trusted.select(F.col("id").alias("trusted_id")).filter("trusted_id IS NOT NULL").distinct()
+    ids = ids.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(most_trusted)
     marked = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).join(
-        ids, F.col("id") == F.col("trusted_id"), "left"
+        F.broadcast(ids), F.col("id") == F.col("trusted_id"), "left"
     )
     # BUCKETS numbers, whatever the input, become a constant of the plan
     found = weights(marked, "text", F.col("trusted_id").isNotNull(), buckets).first()["weights"]
