@@ -374,9 +374,9 @@ def _decode_frames(data: bytes, at: np.ndarray, sizes: np.ndarray) -> list[np.nd
     depth = 8 - wasted
     out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(at)
     for i in np.flatnonzero(kind == 0):
-        out[i] = np.full(sizes[i], bits.signed(place[i : i + 1], int(depth[i]))[0], np.int32)
+        out[i] = np.full(sizes[i], bits.signed(place[i : i + 1], int(depth[i]))[0] << wasted[i], np.int32)
     for i in np.flatnonzero(kind == 1):
-        out[i] = bits.signed(place[i] + np.arange(sizes[i]) * int(depth[i]), int(depth[i])).astype(np.int32)
+        out[i] = bits.signed(place[i] + np.arange(sizes[i]) * int(depth[i]), int(depth[i])).astype(np.int32) << wasted[i]
     if (((kind > 1) & (kind < 8)) | ((kind > 12) & (kind < 32))).any():
         raise ValueError("reserved subframe")
     for first, last, is_lpc in ((8, 12, False), (32, 63, True)):

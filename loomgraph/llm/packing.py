@@ -132,6 +132,8 @@ class WordTokenizer:
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; null has none."""
+        if not len(texts):
+            return []
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         words = pc.dictionary_encode(lists.flatten())
         distinct = words.dictionary.to_pylist()
