@@ -22,33 +22,66 @@ import base64
 import hashlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from loomgraph.llm.common import each_slice, fields
+from loomgraph.llm.common import IdPool, each_slice, fields
 
-#: Bytes of distinct pieces that one recursive query takes, and pieces that a worker remembers.
+#: Bytes of distinct pieces that one recursive query takes, and words and pieces beyond which a worker forgets them.
 QUERY_BYTES = 400_000
 #: Text bytes that are encoded together.
-TEXT_BYTES = 4_000_000
-REMEMBERED = 600_000
+TEXT_BYTES = 8_000_000
+REMEMBERED = 1_500_000
 #: Bytes up to which a piece takes one contraction a step.
 SHORT = 40
 #: Ids that one ordered aggregation decodes.
-DECODED_IDS = 250_000
+DECODED_IDS = 500_000
 
 #: A state row is a token, its place in its word and what it makes with its right neighbour.
 _START = """
 SELECT 0 AS step, s.word, s.pos, s.token, m.merged, m.again
 FROM (SELECT word, pos, token, lead(token) OVER (PARTITION BY word ORDER BY pos) AS after FROM start) s
-LEFT JOIN merges m ON m.lft = s.token AND m.rgt = s.after
+LEFT JOIN merges m ON m.pair = s.token::BIGINT * 4294967296 + s.after
 """
 
-#: One contraction a word and step: its leftmost pair of minimum rank.
-_SHORT = f"""
+#: What stops the query below when it meets rows that are not in order.
+_DISORDER = "rows are not in order"
+_CHECKED = f"""CASE WHEN next_word < word OR (next_word = word AND next_pos <= pos) OR last_word > word OR (last_word = word AND last_pos >= pos)
+    THEN error('{_DISORDER}')::INTEGER"""
+
+#: One contraction a word and step: its leftmost pair of minimum rank.  Neighbours are those in the stream of rows, which
+#: saves a sort a step; every step checks that the stream is in order of word and place, and stops if it is not.
+_STREAMED = f"""
+WITH RECURSIVE grown AS (
+    SELECT 0 AS step, s.word, s.pos, s.token, m.merged
+    FROM (SELECT word, pos, token, {_CHECKED} WHEN next_word = word THEN next_token END AS after
+          FROM (SELECT *, lag(pos) OVER () AS last_pos, lag(word) OVER () AS last_word, lead(word) OVER () AS next_word,
+                       lead(pos) OVER () AS next_pos, lead(token) OVER () AS next_token FROM start)) s
+    LEFT JOIN merges m ON m.pair = s.token::BIGINT * 4294967296 + s.after
+    UNION ALL
+    (SELECT t.step + 1, t.word, t.pos, t.token, m.merged
+     FROM (SELECT step, word, pos, CASE WHEN pos = best THEN merged ELSE token END AS token,
+                  {_CHECKED}
+                  WHEN pos = best THEN CASE WHEN second_word = word THEN second END
+                  WHEN next_word = word THEN CASE WHEN next_pos = best THEN next_merged ELSE next_token END END AS after
+           FROM (SELECT *, lag(pos) OVER () AS last_pos, lag(word) OVER () AS last_word,
+                        lead(pos) OVER () AS next_pos, lead(word) OVER () AS next_word, lead(merged) OVER () AS next_merged,
+                        lead(token) OVER () AS next_token, lead(token, 2) OVER () AS second, lead(word, 2) OVER () AS second_word
+                 FROM (SELECT g.*, b.best FROM grown g JOIN (
+                     SELECT word, (min(merged::BIGINT * 65536 + pos) % 65536)::INTEGER AS best
+                     FROM grown WHERE merged IS NOT NULL GROUP BY word) b ON b.word = g.word))
+           WHERE NOT (last_word IS NOT DISTINCT FROM word AND last_pos IS NOT DISTINCT FROM best)) t
+     LEFT JOIN merges m ON m.pair = t.token::BIGINT * 4294967296 + t.after)
+)
+"""
+
+#: The same by sorting, for the case that a stream is out of order.
+_SORTED = f"""
 WITH RECURSIVE grown AS (
     {_START}
     UNION ALL
@@ -61,7 +94,7 @@ WITH RECURSIVE grown AS (
                  WINDOW line AS (PARTITION BY word ORDER BY pos),
                         whole AS (PARTITION BY word ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
            WHERE best IS NOT NULL AND last_spot IS DISTINCT FROM best) t
-     LEFT JOIN merges m ON m.lft = t.token AND m.rgt = t.after)
+     LEFT JOIN merges m ON m.pair = t.token::BIGINT * 4294967296 + t.after)
 )
 """
 
@@ -90,7 +123,7 @@ WITH RECURSIVE grown AS (
         FROM (SELECT step, word, pos, CASE WHEN take THEN merged ELSE token END AS token FROM placed WHERE NOT eaten)
     )
     SELECT t.step + 1, t.word, t.pos, t.token, m.merged, m.again
-    FROM next t LEFT JOIN merges m ON m.lft = t.token AND m.rgt = t.after)
+    FROM next t LEFT JOIN merges m ON m.pair = t.token::BIGINT * 4294967296 + t.after)
 )
 """
 
@@ -100,7 +133,7 @@ ORDER BY word, pos
 """
 
 _DECODE = """
-SELECT doc, string_agg(v.hex, '' ORDER BY pos) AS hex
+SELECT doc, list_aggregate(list(v.hex ORDER BY pos), 'string_agg', '') AS hex
 FROM ids JOIN vocabulary v ON v.token = ids.token GROUP BY doc
 """
 
@@ -136,8 +169,10 @@ def _vocabulary(path: str):
                 right.append(b)
                 made.append(rank)
     con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+    con.execute("SET disabled_optimizers = 'join_order,build_side_probe_side'")  # the left side of a join streams
     again = [m not in unsafe for m in made]
-    con.register("m", pa.table({"lft": pa.array(left, pa.int32()), "rgt": pa.array(right, pa.int32()), "merged": pa.array(made, pa.int32()), "again": again}))
+    pair = (np.array(left, np.int64) << 32) + np.array(right, np.int64)
+    con.register("m", pa.table({"pair": pair, "merged": pa.array(made, pa.int32()), "again": again}))
     con.execute("CREATE TABLE merges AS SELECT * FROM m")
     con.unregister("m")
     con.register("v", pa.table({"token": pa.array(ranks.values(), pa.int32()), "hex": [t.hex() for t in ranks]}))
@@ -150,7 +185,9 @@ def _vocabulary(path: str):
     return ranks, con, single
 
 
-def _merged(pieces: list[bytes], con, single: np.ndarray, query: str) -> Iterator[np.ndarray]:
+def _merged(pieces: list[bytes], con, single: np.ndarray, query: str) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+    import duckdb
+
     at = 0
     while at < len(pieces):
         end, size = at, 0
@@ -163,53 +200,95 @@ def _merged(pieces: list[bytes], con, single: np.ndarray, query: str) -> Iterato
         pos = (np.arange(size) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
         token = single[np.frombuffer(b"".join(some), np.uint8)]
         con.register("start", pa.table({"word": word, "pos": pos, "token": token}))
-        got = con.sql(query + _DONE).to_arrow_table()
+        try:
+            got = con.sql(query + _DONE).to_arrow_table()
+        except duckdb.Error as e:
+            if _DISORDER not in str(e):
+                raise
+            got = con.sql(_SORTED + _DONE).to_arrow_table()
         con.unregister("start")
-        words, tokens = got.column("word").to_numpy(), got.column("token").to_numpy().astype("<u4")
-        yield from np.split(tokens, np.flatnonzero(np.diff(words)) + 1)
+        yield some, np.bincount(got.column("word").to_numpy(), minlength=len(some)), got.column("token").to_numpy().astype(np.uint32)
         at = end
 
 
-def merge_pieces(pieces: list[bytes], path: str) -> Iterator[tuple[bytes, np.ndarray]]:
-    """Each non-empty piece and its ids, by the recursive queries."""
+def merge_pieces(pieces: list[bytes], path: str) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+    """Some of the non-empty pieces at a time, how many ids each has, and their ids, by the recursive queries."""
     _, con, single = _vocabulary(path)
-    for query, some in ((_SHORT, [p for p in pieces if len(p) <= SHORT]), (_LONG, [p for p in pieces if len(p) > SHORT])):
-        yield from zip(some, _merged(some, con, single, query), strict=True)
+    for query, some in ((_STREAMED, [p for p in pieces if len(p) <= SHORT]), (_LONG, [p for p in pieces if len(p) > SHORT])):
+        yield from _merged(some, con, single, query)
+
 
+class Encoder(IdPool):
+    """Encodes texts in batches and remembers a bounded number of words.
 
-class Encoder:
-    """Encodes texts in batches and remembers a bounded number of pieces."""
+    Where a space follows what is no white space, the pattern always parts the
+    text.  So a text is the words between single spaces, each but the first with
+    the space before it, and words recur.  A text with a word that is empty or
+    ends in white space is cut by the pattern as a whole.
+    """
 
     def __init__(self, path: str, pattern: str):
         import regex
 
-        self.path, self.pieces = path, regex.compile(pattern).findall
+        self.path, self.cut = path, regex.compile(pattern).findall
         self.ranks = _vocabulary(path)[0]
-        self.known: dict[str, bytes] = {}
-
-    def learn(self, new: set[str]) -> None:
-        """Remember the packed ids of each piece; a piece that is a token is its own id."""
-        left: dict[bytes, str] = {}
-        for piece in new:
-            raw = piece.encode()
-            rank = self.ranks.get(raw)
-            if rank is None:
-                left[raw] = piece
-            else:
-                self.known[piece] = rank.to_bytes(4, "little")
-        for raw, ids in merge_pieces(sorted(left), self.path):
-            self.known[left[raw]] = ids.tobytes()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+        super().__init__()
+
+    def learn(self, new: list[str]) -> None:
+        """Remember the ids of each word and of its pieces; a piece that is a token is its own id."""
+        known, ranks = self.known, self.ranks
+        cut = [self.cut(word) for word in new]
+        tokens: dict[str, int] = {}
+        pieces: dict[bytes, str] = {}
+        for piece in dict.fromkeys(chain.from_iterable(cut)):
+            if piece not in known:
+                raw = piece.encode()
+                if (rank := ranks.get(raw)) is None:
+                    pieces[raw] = piece
+                else:
+                    tokens[piece] = rank
+        self.add(list(tokens), np.ones(len(tokens), np.int64), np.fromiter(tokens.values(), np.uint32, len(tokens)))
+        for some, sizes, ids in merge_pieces(sorted(pieces), self.path):
+            self.add([pieces[raw] for raw in some], sizes, ids)
+        many = [(word, own) for word, own in zip(new, cut, strict=True) if len(own) > 1 and word not in known]
+        if many:
+            numbers = self.numbers(list(chain.from_iterable(own for _, own in many)))
+            counts = np.fromiter((len(own) for _, own in many), np.int64, len(many))
+            ids, _ = self.gather(numbers)
+            self.add([word for word, _ in many], np.add.reduceat(self.size[numbers], np.cumsum(counts) - counts), ids)
+
+    def encode(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         """Each text's ids, packed as little-endian unsigned 32-bit integers."""
-        cut = [self.pieces(t) if t else [] for t in texts]
-        new = set().union(*cut) - self.known.keys()
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = set().union(*cut)
-        if new:
-            self.learn(new)
-        return [b"".join(map(self.known.__getitem__, us)) for us in cut]
+        if not len(texts):
+            return []
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        lists = pc.split_pattern(texts, " ")
+        words = pc.dictionary_encode(lists.flatten())
+        distinct, index = words.dictionary.to_pylist(), words.indices.to_numpy()
+        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        starts = np.cumsum(counts) - counts
+        odd = np.fromiter((not w or w[-1].isspace() for w in distinct), bool, len(distinct))
+        whole = np.add.reduceat(odd[index].astype(np.int64), starts) > 0
+        plain = np.repeat(~whole, counts)
+        first = np.zeros(len(index), bool)
+        first[starts] = True
+        later, initial = np.unique(index[plain & ~first]), np.unique(index[plain & first])
+        number = np.zeros((2, len(distinct)), np.int64)
+        number[0, later] = self.learned([" " + distinct[i] for i in later])
+        number[1, initial] = self.learned([distinct[i] for i in initial])
+        flat, ends = self.gather(number[first[plain].astype(np.int64), index[plain]])
+        own = counts[~whole]
+        parts = iter(np.split(flat, ends[np.cumsum(own)[:-1] - 1]) if len(own) else [])
+        out = []
+        for i, by_pattern in enumerate(whole):
+            if by_pattern:
+                ids, _ = self.gather(self.learned(self.cut(texts[i].as_py())))
+            else:
+                ids = next(parts)
+            out.append(ids.astype("<u4").tobytes())
+        return out
 
 
 def decode(packed: list[bytes], path: str) -> list[bytes]:
@@ -227,7 +306,7 @@ def decode(packed: list[bytes], path: str) -> list[bytes]:
         pos = np.arange(size, dtype=np.int32)
         token = np.frombuffer(b"".join(packed[at:end]), "<u4").astype(np.int32)
         con.register("ids", pa.table({"doc": doc, "pos": pos, "token": token}))
-        for d, text in con.execute(_DECODE).fetchall():
+        for d, text in con.sql(_DECODE).fetchall():
             out[d] = bytes.fromhex(text)
         con.unregister("ids")
         at = end
@@ -247,7 +326,7 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, pattern)
         for part in each_slice(batches, text_col, TEXT_BYTES):
-            packed = encoder.encode(part.column(1).to_pylist())
+            packed = encoder.encode(part.column(1))
             ends = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype(np.int32)
             flat = pa.array(np.frombuffer(b"".join(packed), "<u4").astype(np.int32))
             ids = pa.ListArray.from_arrays(pa.array(ends), flat, type=pa.list_(pa.field("element", pa.int32(), False)))
@@ -271,7 +350,7 @@ def digest(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, pattern)
         for part in each_slice(batches, text_col, TEXT_BYTES):
-            packed = encoder.encode(part.column(1).to_pylist())
+            packed = encoder.encode(part.column(1))
             texts = decode(packed, path)
             yield pa.RecordBatch.from_arrays(
                 [

@@ -8,59 +8,28 @@ driver share.  Nothing here uses machine-local folders on a cluster.
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Python workers cut Arrow batches into slices of about this many text bytes.
-SLICE_BYTES = 2_000_000
-
+from loomgraph.functions.storage import discard, shared_folder
+from loomgraph.functions.storage import stored as written
 
-def shared_folder(spark: SparkSession) -> str:
-    """The shared scratch folder, as a URI or path without a trailing slash.
+__all__ = ["IdPool", "discard", "each_slice", "fields", "open_folder", "scratch_path", "shared_folder", "slices", "written"]
 
-    The cluster's ``spark.checkpoint.dir`` wins; only where it is unset (tests,
-    single-machine use) a temporary folder is made and set.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if not found:
-        found = context.getCheckpointDir()
-    if not found:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="loomgraph-"))
-        found = context.getCheckpointDir()
-    return found.rstrip("/")
+#: Python workers cut Arrow batches into slices of about this many text bytes.
+SLICE_BYTES = 2_000_000
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/loomgraph/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """Write ``df`` as a Parquet table in the shared folder and read it back.
-
-    Later stages read the files, so a lost executor costs no recomputation of
-    what came before.  Returns the table and its path (see :func:`discard`).
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def discard(spark: SparkSession, *paths: str) -> None:
-    """Delete scratch tables that no later plan reads."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in paths:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(conf).delete(target, True)
-
-
 def open_folder(uri: str):
     """The file system and path of a folder given by URI or plain path, on driver or executor."""
     from pyarrow import fs
@@ -91,3 +60,48 @@ def each_slice(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE
 def fields(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, found exactly, so extra columns cannot clash with added ones."""
     return df.select(*[F.col(f"`{n}`") for n in names])
+
+
+class IdPool:
+    """Token ids of known strings, in flat arrays, to be gathered for whole batches."""
+
+    def __init__(self) -> None:
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {"": 0}
+        self.size = np.zeros(1, np.int64)
+        self.start = np.zeros(1, np.int64)
+        self.pool = np.zeros(0, np.uint32)
+
+    def add(self, strings: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Remember strings that are new, with how many ids each has and all ids, one after another."""
+        self.known.update(zip(strings, range(len(self.known), len(self.known) + len(strings)), strict=True))
+        self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(sizes) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.pool = np.concatenate([self.pool, ids])
+
+    def numbers(self, strings: list[str]) -> np.ndarray:
+        """The number of each string, -1 for those not known."""
+        return np.fromiter(map(self.known.get, strings, repeat(-1)), np.int64, len(strings))
+
+    def learned(self, strings: list[str]) -> np.ndarray:
+        """The number of each string, after learning those not known."""
+        out = self.numbers(strings)
+        unknown = np.flatnonzero(out < 0)
+        if len(unknown):
+            new = [strings[i] for i in unknown]
+            self.learn(list(dict.fromkeys(new)))
+            out[unknown] = self.numbers(new)
+        return out
+
+    def learn(self, new: list[str]) -> None:
+        """Add strings that are not known yet."""
+        raise NotImplementedError
+
+    def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of strings given by number, one after another, and where each ends."""
+        size = self.size[numbers]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.pool[np.arange(total) + np.repeat(self.start[numbers] - ends + size, size)], ends

@@ -49,10 +49,28 @@ def test_random_texts(encoder, truth, texts):
 
 def test_short_and_long_queries_agree(encoder, truth, monkeypatch):
     words = [w.encode() for w in ("international", "unbelievably", "aaaaaaaabaaaa", "thethethe", "Straßenbahnhaltestelle", "xyzzyzzyxx")]
-    short = dict(b.merge_pieces(words, PATH))
-    monkeypatch.setattr(b, "SHORT", 0)
-    long = dict(b.merge_pieces(words, PATH))
-    assert all(short[w].tolist() == long[w].tolist() for w in words)
+    found = []
+    for short in (b.SHORT, 0):
+        monkeypatch.setattr(b, "SHORT", short)
+        ((some, sizes, ids),) = b.merge_pieces(words, PATH)
+        assert some == words
+        found.append((sizes.tolist(), ids.tolist()))
+    assert found[0] == found[1]
+
+
+def test_streams_out_of_order_are_sorted(encoder, truth, monkeypatch):
+    words = [w.encode() for w in ("international", "unbelievably", "thethethe", "xyzzyzzyxx")]
+    ((some, sizes, ids),) = b.merge_pieces(words, PATH)
+    monkeypatch.setattr(b, "_STREAMED", b._STREAMED.replace("FROM start)", "FROM (SELECT * FROM start ORDER BY pos, word))"))
+    with pytest.raises(Exception, match=b._DISORDER):
+        con = b._vocabulary(PATH)[1]
+        con.execute("CREATE OR REPLACE TEMP TABLE start AS SELECT * FROM (VALUES (0, 0, 64), (1, 0, 65), (0, 1, 66)) t(word, pos, token)")
+        try:
+            con.sql(b._STREAMED + b._DONE).fetchall()
+        finally:
+            con.execute("DROP TABLE temp.start")
+    ((again, sizes_again, ids_again),) = b.merge_pieces(words, PATH)
+    assert some == again and sizes.tolist() == sizes_again.tolist() and ids.tolist() == ids_again.tolist()
 
 
 def test_tables(spark, truth):
