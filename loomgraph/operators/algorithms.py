@@ -26,10 +26,13 @@ def pagerank(vertices: DataFrame, links: DataFrame, rounds: int | None = 10, tol
     among that neighbour's edges.  Runs ``rounds`` rounds, or until no rank moves by more than ``tolerance``.
     """
     spark = links.sparkSession
-    shares, shares_path = stored(
+    # edges stay where their source's rank will be needed, so that a round moves ranks only
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table, shares_path = stored(
         links.join(links.groupBy("src").agg(F.count(F.lit(1)).alias("out")), "src").groupBy("src", "dst").agg((F.count(F.lit(1)) / F.first("out")).alias("share")),
         "shares",
     )
+    shares = table.repartition(partitions, "src").persist()
     ids, ids_path = stored(vertices.select("id").distinct(), "ids")
     ranks, paths = ids.withColumn("rank", F.lit(1.0)), []
     for i in range(1, (rounds if tolerance is None else most_rounds) + 1):
@@ -48,6 +51,7 @@ def pagerank(vertices: DataFrame, links: DataFrame, rounds: int | None = 10, tol
             break
     total = ranks.agg((F.count(F.lit(1)) / F.sum("rank")).alias("scale")).first()["scale"]
     out, _ = stored(ranks.select("id", (F.col("rank") * F.lit(total or 1.0)).alias("pagerank")), "pagerank")
+    shares.unpersist()
     discard(spark, shares_path, ids_path, *paths)
     return out
 

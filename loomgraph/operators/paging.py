@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgraph.functions.storage import stored
@@ -20,14 +20,23 @@ def page(rows: DataFrame, after: int, size: int, until: int | None = None) -> Da
     return beyond.join(some, "subject", "left_semi")
 
 
-def _numbered(subjects: DataFrame, parts: int) -> DataFrame:
-    """Distinct subjects with their place in order; ranges are sorted side by side and their sizes summed up."""
-    ordered = subjects.select("subject").distinct().repartitionByRange(parts, "subject").withColumn("range", F.spark_partition_id())
-    ordered = ordered.withColumn("nth", F.row_number().over(Window.partitionBy("range").orderBy("subject")).cast("long"))
-    sizes = ordered.groupBy("range").agg(F.count(F.lit(1)).alias("n"))  # a row a range
+def _prefix(rows: DataFrame, key: str, weight: Column, parts: int) -> DataFrame:
+    """``rows`` with ``upto``: the weight of all rows up to each, in the order of ``key``, which must be distinct.
+
+    Ranges of the key are sorted side by side; only their totals, a row a range, meet in one place.
+    """
+    ordered = rows.withColumn("weight", weight.cast("long")).repartitionByRange(parts, key).withColumn("range", F.spark_partition_id())
+    own = Window.partitionBy("range").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+    ordered = ordered.withColumn("own", F.sum("weight").over(own))
+    totals = ordered.groupBy("range").agg(F.sum("weight").alias("total"))
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return ordered.join(F.broadcast(bases), "range").select("subject", (F.col("base") + F.col("nth") - 1).alias("place"))
+    bases = totals.select("range", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
+    return ordered.join(F.broadcast(bases), "range").withColumn("upto", F.col("base") + F.col("own")).drop("range", "own", "base", "weight")
+
+
+def _numbered(subjects: DataFrame, parts: int) -> DataFrame:
+    """Distinct subjects with their place in order, from 0."""
+    return _prefix(subjects.select("subject").distinct(), "subject", F.lit(1), parts).select("subject", (F.col("upto") - 1).alias("place"))
 
 
 def chunk_ids(subjects: DataFrame, size: int, parts: int = 64) -> DataFrame:
@@ -42,12 +51,12 @@ def gaps(subjects: DataFrame, parts: int = 64) -> DataFrame:
     return ranked.join(following, "place").select("subject", (F.col("subject") - F.col("before")).alias("gap"))
 
 
-def upper_median_gap(subjects: DataFrame) -> DataFrame:
-    """The upper median of the gaps, as ``median``."""
-    counted = gaps(subjects).groupBy("gap").agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.orderBy("gap").rowsBetween(Window.unboundedPreceding, 0)
-    total = counted.agg(F.sum("n").alias("total"))
-    return counted.withColumn("upto", F.sum("n").over(upto)).join(F.broadcast(total)).filter(F.col("upto") > F.expr("total div 2")).agg(F.min("gap").alias("median"))
+def upper_median_gap(subjects: DataFrame, parts: int = 64) -> DataFrame:
+    """The upper median of the gaps, as ``median``; null if there are none."""
+    counted, _ = stored(gaps(subjects, parts).groupBy("gap").agg(F.count(F.lit(1)).alias("n")), "gaps")
+    half = counted.agg(F.coalesce(F.expr("sum(n) div 2"), F.lit(0)).alias("half"))
+    ranked = _prefix(counted, "gap", F.col("n"), parts)
+    return ranked.join(F.broadcast(half), F.col("upto") > F.col("half")).agg(F.min("gap").alias("median"))
 
 
 def dense_runs(subjects: DataFrame, threshold: int, repeats: int = 1, parts: int = 64) -> DataFrame:

@@ -15,7 +15,7 @@ from loomgraph.plans.catalog import ClusterState, ReservedFilter, Schema
 from loomgraph.plans.options import Options
 from loomgraph.plans.partitioner import Part, plan
 from loomgraph.sources.graph import Graph
-from loomgraph.sources.stored import read_graph
+from loomgraph.sources.stored import read_graph, snapshot
 from loomgraph.sources.tables import graph_of_tables
 
 
@@ -32,7 +32,8 @@ class GraphReader:
     def graph(self, *targets: str) -> Graph:
         """The graph of the first target, without the reserved predicates that the options leave out.
 
-        All targets must show the same schema.
+        All targets must show the same schema.  In transaction mode ``read`` everything that is read through the
+        graph comes from one copy of its triples, taken now, whatever happens to the target after that.
         """
         paths = list(targets) or self.options.targets
         found = [self._open(p) for p in paths]
@@ -41,7 +42,8 @@ class GraphReader:
         keep = ReservedFilter(
             self.options.get("loomgraph.include.reserved-predicates"), self.options.get("loomgraph.exclude.reserved-predicates")
         )
-        return found[0].reserved(keep)
+        graph = found[0].reserved(keep)
+        return snapshot(graph) if self.options.choice("loomgraph.transaction.mode", "none", "read") == "read" else graph
 
     def _open(self, path: str) -> Graph:
         jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()

@@ -7,11 +7,13 @@ groups by their statistics.  The same folder serves as data source formats.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from loomgraph.functions.storage import shared_folder
 from loomgraph.functions.types import EDGES, KINDS, TYPED_NODES, TYPED_TRIPLES, Predicate
 from loomgraph.operators.layouts import typed_triples
 from loomgraph.plans.catalog import Schema
@@ -48,6 +50,13 @@ def read_graph(spark: SparkSession, path: str) -> Graph:
     return Graph(spark, schema, tuple(branches))
 
 
+def snapshot(graph: Graph) -> Graph:
+    """The graph as it is now, from a copy in the shared folder."""
+    path = f"{shared_folder(graph.spark)}/loomgraph/snapshot-{uuid.uuid4().hex}"
+    write_graph(graph, path)
+    return read_graph(graph.spark, path)
+
+
 class _File(InputPartition):
     def __init__(self, path: str):
         super().__init__(path)

@@ -130,6 +130,23 @@ def test_stored_graph(spark, film, tmp_path):
     assert spark.read.loom.triples(path).count() == 61
 
 
+def test_read_transaction(spark, film, tmp_path):
+    path = str(tmp_path / "moving")
+    write_graph(film, path)
+    install()
+    before = spark.read.loom.option("loomgraph.transaction.mode", "read").graph(path)
+    write_graph(film.only(["name"]), path)
+    spark.catalog.refreshByPath(path)
+    assert layouts.typed_triples(before).count() == 61
+    assert spark.read.loom.triples(path).count() == 6
+
+
+def test_medians(spark):
+    rows = spark.createDataFrame([(i,) for i in (1, 2, 4, 8, 16)], "subject long")
+    assert paging.upper_median_gap(rows).first().median == 4
+    assert paging.upper_median_gap(rows.limit(1)).first().median is None
+
+
 def test_unsigned_ranges(spark, film):
     rows = layouts.typed_triples(film)
     ordered = [r.subject for r in rows.select("subject").distinct().orderBy(unsigned_order(F.col("subject"))).collect()]
