@@ -35,12 +35,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomgraph.llm.common import each_slice, fields, written
+from loomgraph.llm.common import IdPool, each_slice, fields, written
 
-#: Words whose ids a worker remembers.
-REMEMBERED = 1_000_000
+#: Words beyond which a worker forgets their ids.
+REMEMBERED = 600_000
 #: Text bytes that are encoded together.
-TEXT_BYTES = 4_000_000
+TEXT_BYTES = 8_000_000
 
 _LETTERS = re.compile("[a-z\xdf-\xf6\xf8-\xff]+").fullmatch
 #: Byte-level models spell a byte that is no visible Latin-1 character as one from 256 on; these are what the
@@ -50,7 +50,7 @@ _SPELT = {b: chr(256 + _HIDDEN.index(b)) if b in _HIDDEN else chr(b) for b in ra
 _BYTE_LETTERS = {c: "".join(_SPELT[b] for b in chr(c).encode()) for c in range(0xDF, 0x100)}
 
 
-class WordTokenizer:
+class WordTokenizer(IdPool):
     """Encodes texts word by word, remembering a bounded number of words.
 
     The tokenizer drops white space and never joins what it separates, so a
@@ -73,23 +73,11 @@ class WordTokenizer:
             self._merged(probe) == self.tokenizer.encode(probe, add_special_tokens=False).ids
             for probe in ("a", "word", "abcdefghijklmnopqrstuvwxyz", "été", "straße", "mañana")
         )
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {"": 0}
-        self.size = np.zeros(1, np.int64)
-        self.start = np.zeros(1, np.int64)
-        self.pool = np.zeros(0, np.uint32)
+        super().__init__()
 
     def _merged(self, stem: str) -> list[int]:
         return [t.id for t in self.model.tokenize(stem if stem.isascii() else stem.translate(_BYTE_LETTERS))]
 
-    def _add(self, words: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
-        self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(sizes) - sizes])
-        self.size = np.concatenate([self.size, sizes])
-        self.pool = np.concatenate([self.pool, ids])
-
     def learn(self, words: list[str]) -> None:
         plain: dict[str, None] = {}
         odd: dict[str, None] = {}
@@ -116,19 +104,12 @@ class WordTokenizer:
         new += rest
         if new:
             sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-            self._add(new, sizes, np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())))
+            self.add(new, sizes, np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())))
         more = [x for x in split if x[0] not in known]
         if more:
             pairs = np.array([[known[low], known[tail]] for _, low, tail in more]).ravel()
             ids, _ = self.gather(pairs)
-            self._add([x[0] for x in more], self.size[pairs].reshape(-1, 2).sum(1), ids)
-
-    def gather(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of words given by number, one after another, and where each ends."""
-        size = self.size[words]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.pool[np.arange(total) + np.repeat(self.start[words] - ends + size, size)], ends
+            self.add([x[0] for x in more], self.size[pairs].reshape(-1, 2).sum(1), ids)
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; null has none."""
@@ -137,14 +118,9 @@ class WordTokenizer:
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         words = pc.dictionary_encode(lists.flatten())
         distinct = words.dictionary.to_pylist()
-        new = [w for w in distinct if w not in self.known]
-        if len(self.known) + 2 * len(new) > REMEMBERED:
+        if len(self.known) > REMEMBERED:
             self.forget()
-            new = [w for w in distinct if w]
-        if new:
-            self.learn(new)
-        number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
-        flat, ends = self.gather(number[words.indices.to_numpy()])
+        flat, ends = self.gather(self.learned(distinct)[words.indices.to_numpy()])
         cuts = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
         return np.split(flat, np.r_[0, ends][cuts[:-1]])
 
