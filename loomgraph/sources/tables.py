@@ -87,6 +87,20 @@ EDGE_TYPES = (
     EdgeType("order.part", "lineitem", "Order", "l_orderkey", "Part", "l_partkey", True),
 )
 
+#: Columns that the graph reads.  Tables named here are planned without a look into their files.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "events": "event_id bigint, ts timestamp_ntz, event_type string, value double, props string",
+    "labels": "doc_id bigint, toxic int",
+}
+
 _NUMBERS = {t.name: t.number for t in NODE_TYPES}
 
 
@@ -123,7 +137,8 @@ def graph_of_tables(spark: SparkSession, folder: str, stride: int = STRIDE) -> G
 
     def table(name: str) -> DataFrame:
         if name not in read:
-            read[name] = spark.read.parquet(f"{folder}/{name}.parquet")
+            reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+            read[name] = reader.parquet(f"{folder}/{name}.parquet")
         return read[name]
 
     schema = schema_of_tables()
