@@ -55,9 +55,9 @@ def test_reserved_filter():
 
 
 def test_md5_deal():
-    names = frozenset({"release_date", "starring", "director", "running_time", "dgraph.type", "name", "revenue", "title"})
+    names = frozenset({"release_date", "starring", "director", "running_time", "graph.type", "name", "revenue", "title"})
     assert [set(s) for s in partitioner.dealt(names, 4)] == [
-        {"release_date", "starring"}, {"director", "running_time"}, {"dgraph.type", "name"}, {"revenue", "title"},
+        {"graph.type", "release_date"}, {"director", "running_time"}, {"name", "revenue"}, {"starring", "title"},
     ]
 
 
