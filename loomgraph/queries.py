@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -271,8 +272,15 @@ query("part_predicate_uid_range", _with("SELECT subject, predicate, part, (subje
     )
 )
 query("read_plan", _with("SELECT predicate, count(*) AS n FROM triples GROUP BY predicate"))(
-    lambda g: partitioned.read_plan(g, partitioner.uid_range(partitioner.predicate(_STATE, g.schema, 10), 9 * STRIDE, 20_000_000)).groupBy("predicate").agg(F.count(F.lit(1)).alias("n"))
+    lambda g: partitioned.read_plan(g, partitioner.uid_range(partitioner.predicate(_STATE, g.schema, 10), _highest(g), 20_000_000)).groupBy("predicate").agg(F.count(F.lit(1)).alias("n"))
 )
+
+
+def _highest(g) -> int:
+    """The highest subject of any triple."""
+    return reduce(DataFrame.unionAll, [b.table.select(b.subject.alias("subject")) for b in g.branches]).agg(F.max("subject")).first()[0] or 1
+
+
 query("array_rotation", _with("SELECT subject, string_agg(predicate, ',' ORDER BY predicate <= first, predicate) AS turned FROM (SELECT *, min(predicate) OVER (PARTITION BY subject) AS first FROM (SELECT DISTINCT subject, predicate FROM triples WHERE predicate NOT LIKE '%@%')) GROUP BY subject"))(
     lambda g: layouts.typed_triples(g).where("predicate NOT LIKE '%@%'").groupBy("subject").agg(F.sort_array(F.collect_set("predicate")).alias("p"))
     .select("subject", F.array_join(rotated_array(F.col("p"), 1), ",").alias("turned"))

@@ -1,7 +1,9 @@
 """The graph over relational tables: rows are nodes, columns properties, foreign keys edges.
 
 A node's id is its type's number times a stride, plus its key, plus one: ids
-start at one, and each type has a range of its own.
+start at one, and each type has a range of its own.  Keys of a stride or more go
+on in further blocks of ``BLOCK`` strides, in which each type has its range again,
+so that no key is too large.
 """
 
 from __future__ import annotations
@@ -15,8 +17,9 @@ from loomgraph.functions.types import KINDS, TYPE_PREDICATE, Predicate
 from loomgraph.plans.catalog import ClusterState, Schema
 from loomgraph.sources.graph import Branch, Graph, NodeTable
 
-#: Ids of a node type; tables with larger keys need a larger stride.
+#: Ids of a node type in a block; strides of a block, more than there are node types.
 STRIDE = 10_000_000
+BLOCK = 16
 
 
 @dataclass(frozen=True)
@@ -108,6 +111,11 @@ def uid_sql(type_name: str, key: str, stride: int = STRIDE) -> str:
     return f"(CAST({key} AS BIGINT) + {_NUMBERS[type_name] * stride + 1})"
 
 
+def _uid(type_name: str, key: str, stride: int) -> str:
+    """As ``uid_sql`` for keys below the stride; larger ones go to further blocks."""
+    return f"({uid_sql(type_name, key, stride)} + CAST({key} AS BIGINT) div {stride} * {(BLOCK - 1) * stride})"
+
+
 def schema_of_tables() -> Schema:
     found = {TYPE_PREDICATE: Predicate(TYPE_PREDICATE, "string")}
     for t in NODE_TYPES:
@@ -145,15 +153,18 @@ def graph_of_tables(spark: SparkSession, folder: str, stride: int = STRIDE) -> G
     by_name = schema.by_name
 
     def key_of(number: int):
-        first = number * stride + 1
-        return lambda uid: uid - first if 0 <= uid - first < stride else None
+        def of(uid: int) -> int | None:
+            n, rest = divmod(uid - 1, stride)
+            return n // BLOCK * stride + rest if uid > 0 and n % BLOCK == number else None
+
+        return of
 
     def cast(column: str, kind: str):
         return F.col(column).cast(KINDS[kind][2])
 
     branches, node_tables = [], []
     for t in NODE_TYPES:
-        subject, key, of = F.expr(uid_sql(t.name, t.key, stride)), F.col(t.key), key_of(t.number)
+        subject, key, of = F.expr(_uid(t.name, t.key, stride)), F.col(t.key), key_of(t.number)
         branches.append(Branch(by_name[TYPE_PREDICATE], table(t.table), subject, F.lit(t.name), None, key, of))
         for name, kind, column in t.properties:
             branches.append(Branch(by_name[name], table(t.table).filter(F.col(column).isNotNull()), subject, cast(column, kind), None, key, of))
@@ -171,12 +182,12 @@ def graph_of_tables(spark: SparkSession, folder: str, stride: int = STRIDE) -> G
         node_tables.append(NodeTable(source, subject, wide, key, of))
     for name, kind, owner, other, other_key, column in JOINED:
         own = table(other).filter(F.col(column).isNotNull())
-        branches.append(Branch(by_name[name], own, F.expr(uid_sql(owner, other_key, stride)), cast(column, kind), None, F.col(other_key), key_of(_NUMBERS[owner])))
+        branches.append(Branch(by_name[name], own, F.expr(_uid(owner, other_key, stride)), cast(column, kind), None, F.col(other_key), key_of(_NUMBERS[owner])))
     for e in EDGE_TYPES:
         own = table(e.table).filter(F.col(e.source_key).isNotNull() & F.col(e.target_key).isNotNull())
         branches.append(
             Branch(
-                by_name[e.predicate], own, F.expr(uid_sql(e.source, e.source_key, stride)), F.expr(uid_sql(e.target, e.target_key, stride)),
+                by_name[e.predicate], own, F.expr(_uid(e.source, e.source_key, stride)), F.expr(_uid(e.target, e.target_key, stride)),
                 None, F.col(e.source_key), key_of(_NUMBERS[e.source]), e.distinct,
             )
         )
