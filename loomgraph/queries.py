@@ -108,6 +108,14 @@ query(
     "subject", F.size("properties").cast("long").alias("n"),
     F.array_join(F.transform(F.map_entries("properties"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("pairs"),
 ))
+query(
+    "node_maps_whole",
+    _with(f"""SELECT subject, len(list(DISTINCT predicate)) AS n, string_agg(predicate || '=' || value, ';' ORDER BY predicate) AS pairs
+        FROM (SELECT subject, predicate, min({_TEXT}) AS value FROM triples WHERE "objectType" <> 'uid' GROUP BY ALL) GROUP BY subject"""),
+)(lambda g: layouts.node_maps(g).select(
+    "subject", F.size("properties").cast("long").alias("n"),
+    F.array_join(F.transform(F.map_entries("properties"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("pairs"),
+))
 
 # -- filters
 
