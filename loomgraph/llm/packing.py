@@ -230,8 +230,7 @@ class ComplementIndex:
             a = rest.bit_length() - 1
             if 3 * a < gap:
                 return ()
-            found = self.pair(gap - a, a, used)
-            if found and self.has((a, *found), used):
+            if self.has((a,), used) and (found := self.pair(gap - a, a, used + Counter([a]))):
                 return (a, *found)
             rest ^= 1 << a
         return ()

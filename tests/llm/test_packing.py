@@ -103,3 +103,8 @@ def test_tables(spark, truth):
     packed = k.pack(df, PATH).where("doc_id = 5").first()
     assert np.frombuffer(packed.ids, "<u4").tolist() == [*ids(truth, "Two Words"), 1]
     assert k.digest(empty(spark), PATH).count() == 0
+
+
+def test_triples_of_scarce_lengths():
+    # 12 + 12 + 6 comes first and needs a second 12
+    assert sorted(k.ComplementIndex({12: 1, 9: 2, 6: 1}, 30).exact(30, Counter())) == [9, 9, 12]
