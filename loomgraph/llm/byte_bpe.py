@@ -4,16 +4,28 @@ Per partition, texts are cut into the pieces that the tokenizer's pattern
 gives; the distinct pieces that are not tokens themselves become
 (word, position, token) rows in an in-process DuckDB.  A recursive query joins
 neighbouring rows with the merge table and contracts, in every word, the
-leftmost pair of minimum rank, until no word has a pair left.  All occurrences
-of the pair go at once where the new token cannot form a pair of smaller rank
-(see :func:`_vocabulary`), which leaves the result unchanged and keeps a run of
-one repeated letter from costing a step per letter.  Decoding joins ids with
-the vocabulary and concatenates by an ordered aggregation.
-
-Edge cases: a null or empty text has no ids and decodes to no bytes; row count,
+leftmost pair of minimum rank, until no word has a pair left.  Decoding joins ids
+with the vocabulary and concatenates by an ordered aggregation.
+
+A piece of more than ``SHORT`` bytes is cut in stretches of that many, each
+contracted as a word of its own.  Where two stretches meet, a few tokens on
+either side are then contracted again as one word; while that changes its first
+or last token, what stands around is contracted again in turn, twice as wide.  The
+result is exact: a sequence of tokens is the encoding of its bytes if, and only
+if, each two neighbours alone are the encoding of theirs, because no contraction
+ever crosses a place that none crosses in its two neighbours; and a window whose
+first and last tokens stay leaves all pairs of neighbours as some encoding had
+them.  So the work grows with the length of a piece, not with its square, and
+only a change that carries along a whole run (as in a run of one letter) makes
+windows long.  In those all occurrences of a pair go at once where the new token
+cannot form a pair of smaller rank (see :func:`_vocabulary`), in queries of a
+bounded number of steps.
+
+Edge cases: a null or empty text has no ids and decodes to no bytes; a text of any
+length is read whole, a piece of a megabyte without a space included; row count,
 repeated rows, ties and null ids pass through; an empty table gives an empty
-table; columns other than the id and the text are not read.  Lone surrogates
-cannot occur in Spark strings.
+table; columns other than the id and the text are not read, so that none can
+clash.  Lone surrogates cannot occur in Spark strings.
 """
 
 from __future__ import annotations
@@ -32,13 +44,14 @@ from pyspark.sql import types as T
 
 from loomgraph.llm.common import IdPool, each_slice, fields
 
-#: Bytes of distinct pieces that one recursive query takes, and words and pieces beyond which a worker forgets them.
-QUERY_BYTES = 400_000
-#: Text bytes that are encoded together.
-TEXT_BYTES = 8_000_000
-REMEMBERED = 1_500_000
-#: Bytes up to which a piece takes one contraction a step.
-SHORT = 40
+#: Bytes of distinct pieces that one recursive query takes, and rows of all its steps together.
+QUERY_BYTES, QUERY_ROWS = 400_000, 4_000_000
+#: Text bytes that are encoded together; bytes of long pieces that are stitched together.
+TEXT_BYTES, STITCHED = 8_000_000, 2_000_000
+#: Words and pieces, and ids of all of them, beyond which a worker forgets them.
+REMEMBERED, REMEMBERED_IDS = 1_500_000, 12_000_000
+#: Bytes of a stretch of a longer piece; bytes up to which a window takes one contraction a step; tokens on each side of a junction.
+SHORT, WINDOW, MARGIN = 40, 200, 4
 #: Ids that one ordered aggregation decodes.
 DECODED_IDS = 500_000
 
@@ -98,7 +111,7 @@ WITH RECURSIVE grown AS (
 )
 """
 
-#: The same, but all occurrences of the pair at once where its ``again`` allows it.
+#: The same, but all occurrences of the pair at once where its ``again`` allows it, and STEPS steps at most.
 _LONG = f"""
 WITH RECURSIVE grown AS (
     {_START}
@@ -107,7 +120,7 @@ WITH RECURSIVE grown AS (
         SELECT *, coalesce(merged = min(merged) OVER (PARTITION BY word), false) AS hit,
                count(merged) OVER (PARTITION BY word) AS pairs,
                row_number() OVER (PARTITION BY word ORDER BY pos) AS nth
-        FROM grown
+        FROM grown WHERE step < STEPS
     ), runs AS (
         SELECT *, nth - row_number() OVER (PARTITION BY word, hit ORDER BY pos) AS run,
                row_number() OVER (PARTITION BY word, hit ORDER BY pos) AS among
@@ -128,7 +141,7 @@ WITH RECURSIVE grown AS (
 """
 
 _DONE = """
-SELECT word, token FROM grown JOIN (SELECT word, max(step) AS step FROM grown GROUP BY word) USING (word, step)
+SELECT word, token, merged IS NOT NULL AS more FROM grown JOIN (SELECT word, max(step) AS step FROM grown GROUP BY word) USING (word, step)
 ORDER BY word, pos
 """
 
@@ -146,7 +159,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 @lru_cache(maxsize=2)
 def _vocabulary(path: str):
-    """The ranks, a connection that holds the merge table, and the table of bytes.
+    """The ranks, a connection that holds the merge table, the token of each byte, and the bytes of each token.
 
     A merge row says that two neighbouring tokens make a third.  ``again`` is
     true if no token of smaller rank starts or ends with the new one: then no
@@ -168,7 +181,7 @@ def _vocabulary(path: str):
                 left.append(a)
                 right.append(b)
                 made.append(rank)
-    con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+    con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})  # nothing is spilled
     con.execute("SET disabled_optimizers = 'join_order,build_side_probe_side'")  # the left side of a join streams
     again = [m not in unsafe for m in made]
     pair = (np.array(left, np.int64) << 32) + np.array(right, np.int64)
@@ -182,40 +195,121 @@ def _vocabulary(path: str):
     for token, rank in ranks.items():
         if len(token) == 1:
             single[token[0]] = rank
-    return ranks, con, single
-
+    width = np.zeros(max(ranks.values(), default=0) + 1, np.int64)
+    width[list(ranks.values())] = [len(token) for token in ranks]
+    return ranks, con, single, width
 
-def _merged(pieces: list[bytes], con, single: np.ndarray, query: str) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
-    import duckdb
 
+def _batches(pieces: list[bytes], rows: int) -> Iterator[list[bytes]]:
+    """Runs of pieces for a query each, one at least."""
     at = 0
     while at < len(pieces):
-        end, size = at, 0
-        while end < len(pieces) and (end == at or size + len(pieces[end]) <= QUERY_BYTES):
-            size += len(pieces[end])
-            end += 1
-        some = pieces[at:end]
+        end, size, made = at, 0, 0
+        while end < len(pieces):
+            n = len(pieces[end])
+            if end > at and (size + n > QUERY_BYTES or made + n * (n + 1) // 2 > rows):
+                break
+            size, made, end = size + n, made + n * (n + 1) // 2, end + 1
+        yield pieces[at:end]
+        at = end
+
+
+def _start(lengths: np.ndarray, token: np.ndarray) -> pa.Table:
+    word = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+    pos = (np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
+    return pa.table({"word": word, "pos": pos, "token": token})
+
+
+def _words(pieces: list[bytes], con, single: np.ndarray) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+    """Some of the pieces at a time, how many ids each has, and their ids, by one contraction a word and step."""
+    import duckdb
+
+    for some in _batches(pieces, QUERY_ROWS):
         lengths = np.fromiter(map(len, some), np.int64, len(some))
-        word = np.repeat(np.arange(len(some), dtype=np.int32), lengths)
-        pos = (np.arange(size) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
-        token = single[np.frombuffer(b"".join(some), np.uint8)]
-        con.register("start", pa.table({"word": word, "pos": pos, "token": token}))
+        con.register("start", _start(lengths, single[np.frombuffer(b"".join(some), np.uint8)]))
         try:
-            got = con.sql(query + _DONE).to_arrow_table()
+            got = con.sql(_STREAMED + _DONE).to_arrow_table()
         except duckdb.Error as e:
             if _DISORDER not in str(e):
                 raise
             got = con.sql(_SORTED + _DONE).to_arrow_table()
         con.unregister("start")
         yield some, np.bincount(got.column("word").to_numpy(), minlength=len(some)), got.column("token").to_numpy().astype(np.uint32)
-        at = end
+
+
+def _run(piece: bytes, con, single: np.ndarray) -> np.ndarray:
+    """The ids of one long window, by queries of as many steps as keep their rows within ``QUERY_ROWS``."""
+    token, more = single[np.frombuffer(piece, np.uint8)], True
+    while more:
+        con.register("start", _start(np.array([len(token)]), token))
+        got = con.sql(_LONG.replace("STEPS", str(max(4, QUERY_ROWS // len(token)))) + _DONE).to_arrow_table()
+        con.unregister("start")
+        token = got.column("token").to_numpy().astype(np.int32)
+        more = bool(pc.any(got.column("more")).as_py())
+    return token.astype(np.uint32)
+
+
+def _windows(pieces: list[bytes], con, single: np.ndarray) -> dict[bytes, np.ndarray]:
+    """The ids of each distinct stretch or window."""
+    out = {}
+    distinct = dict.fromkeys(pieces)
+    for some, sizes, ids in _words([p for p in distinct if len(p) <= WINDOW], con, single):
+        out.update(zip(some, np.split(ids, np.cumsum(sizes)[:-1]), strict=True))
+    out.update((p, _run(p, con, single)) for p in distinct if len(p) > WINDOW)
+    return out
+
+
+def _stitched(pieces: list[bytes], con, single: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many ids each of some long pieces has, and their ids, by stretches and windows around their junctions."""
+    raw = b"".join(pieces)
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    ends = np.cumsum(sizes)
+    cuts = np.concatenate([np.arange(e - n, e, SHORT) for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)])
+    stretches = [raw[a:b] for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(raw)], strict=True)]
+    known = _windows(stretches, con, single)
+    tokens = np.concatenate([known[s] for s in stretches])
+    # junctions and the pieces' ends, as places in bytes, which contractions leave as they are
+    junctions, margin = np.setdiff1d(cuts, ends - sizes), MARGIN
+    while len(junctions):
+        places = np.r_[0, np.cumsum(width[tokens])]
+        first, last = np.searchsorted(places, ends - sizes), np.searchsorted(places, ends)
+        at = np.searchsorted(places, junctions)
+        owner = np.searchsorted(ends, junctions, "right")
+        low, high = np.maximum(at - margin, first[owner]), np.minimum(at + margin, last[owner])
+        # windows that overlap are one
+        begins = np.flatnonzero(np.r_[True, low[1:] >= np.maximum.accumulate(high)[:-1]])
+        low, high, owner = low[begins], np.maximum.reduceat(high, begins), owner[begins]
+        texts = [raw[a:b] for a, b in zip(places[low].tolist(), places[high].tolist(), strict=True)]
+        known = _windows(texts, con, single)
+        parts, left, done = [], [], 0
+        for a, b, text, own in zip(low.tolist(), high.tolist(), texts, owner.tolist(), strict=True):
+            new = known[text]
+            parts += [tokens[done:a], new]
+            if a > first[own] and new[0] != tokens[a]:
+                left.append(places[a])
+            if b < last[own] and new[-1] != tokens[b - 1]:
+                left.append(places[b])
+            done = b
+        tokens = np.concatenate([*parts, tokens[done:]])
+        junctions, margin = np.unique(np.array(left, np.int64)), margin * 2
+    places = np.cumsum(width[tokens])
+    return np.diff(np.searchsorted(places, ends, "left") + 1, prepend=0), tokens
 
 
 def merge_pieces(pieces: list[bytes], path: str) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
     """Some of the non-empty pieces at a time, how many ids each has, and their ids, by the recursive queries."""
-    _, con, single = _vocabulary(path)
-    for query, some in ((_STREAMED, [p for p in pieces if len(p) <= SHORT]), (_LONG, [p for p in pieces if len(p) > SHORT])):
-        yield from _merged(some, con, single, query)
+    _, con, single, width = _vocabulary(path)
+    yield from _words([p for p in pieces if len(p) <= SHORT], con, single)
+    some, size = [], 0
+    for piece in pieces:
+        if len(piece) > SHORT:
+            some.append(piece)
+            size += len(piece)
+            if size >= STITCHED:
+                yield some, *_stitched(some, con, single, width)
+                some, size = [], 0
+    if some:
+        yield some, *_stitched(some, con, single, width)
 
 
 class Encoder(IdPool):
@@ -261,7 +355,7 @@ class Encoder(IdPool):
         """Each text's ids, packed as little-endian unsigned 32-bit integers."""
         if not len(texts):
             return []
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED or len(self.pool) > REMEMBERED_IDS:
             self.forget()
         texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
         lists = pc.split_pattern(texts, " ")
@@ -293,7 +387,7 @@ class Encoder(IdPool):
 
 def decode(packed: list[bytes], path: str) -> list[bytes]:
     """The bytes of each text, from its packed ids, by an ordered aggregation."""
-    _, con, _ = _vocabulary(path)
+    con = _vocabulary(path)[1]
     out = [b""] * len(packed)
     at = 0
     while at < len(packed):

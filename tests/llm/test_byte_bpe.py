@@ -1,4 +1,7 @@
+import base64
 import hashlib
+import random
+import time
 
 import numpy as np
 import public_tokenizers as P
@@ -47,15 +50,46 @@ def test_random_texts(encoder, truth, texts):
     assert b.decode(got, PATH) == [t.encode() for t in texts]
 
 
-def test_short_and_long_queries_agree(encoder, truth, monkeypatch):
-    words = [w.encode() for w in ("international", "unbelievably", "aaaaaaaabaaaa", "thethethe", "Straßenbahnhaltestelle", "xyzzyzzyxx")]
-    found = []
-    for short in (b.SHORT, 0):
-        monkeypatch.setattr(b, "SHORT", short)
-        ((some, sizes, ids),) = b.merge_pieces(words, PATH)
-        assert some == words
-        found.append((sizes.tolist(), ids.tolist()))
-    assert found[0] == found[1]
+def test_all_ways_of_contracting_agree(truth, monkeypatch):
+    words = [w.encode() for w in ("international", "unbelievably", "aaaaaaaabaaaa", "thethethe", "Straßenbahnhaltestelle", "xyzzyzzyxx", "0" * 37)]
+    expected = [truth._encode_single_piece(w) for w in words]
+    _, con, single, width = b._vocabulary(PATH)
+    ((some, sizes, ids),) = b._words(words, con, single)
+    assert some == words and [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == expected
+    for rows in (b.QUERY_ROWS, 60):  # a query of all steps, and of four
+        monkeypatch.setattr(b, "QUERY_ROWS", rows)
+        assert [b._run(w, con, single).tolist() for w in words] == expected
+    for short, window, margin in ((1, 5, 1), (3, 200, 1), (7, 0, 2)):
+        for name, value in (("SHORT", short), ("WINDOW", window), ("MARGIN", margin)):
+            monkeypatch.setattr(b, name, value)
+        sizes, ids = b._stitched(words, con, single, width)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == expected
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.lists(st.text(alphabet=st.sampled_from("abcethon0é日="), min_size=41, max_size=400), min_size=1, max_size=4))
+def test_long_pieces_are_stitched_exactly(truth, pieces):
+    _, con, single, width = b._vocabulary(PATH)
+    raw = [p.encode() for p in pieces]
+    sizes, ids = b._stitched(raw, con, single, width)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [truth._encode_single_piece(p) for p in raw]
+
+
+def test_a_megabyte_without_spaces(truth, tmp_path, monkeypatch):
+    """Each in at most 30 CPU seconds, and without a file written."""
+    monkeypatch.chdir(tmp_path)
+    r, n = random.Random(1), 1_000_000
+    texts = [
+        "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=n)), base64.b64encode(r.randbytes(3 * n // 4)).decode(), "".join(r.choices("0123456789", k=n)),
+        "".join(map(chr, r.choices(range(0x4E00, 0x9000), k=n // 3))), "a" * n, "abc" * (n // 3), "=-" * (n // 2), "\u3000" + "的一是不了" * (n // 15),
+    ]
+    encoder = b.Encoder(PATH, P.PATTERN)
+    for text in texts:
+        began = time.thread_time()
+        (got,) = encoder.encode([text])
+        assert time.thread_time() - began < 30
+        assert ids(got) == truth.encode_ordinary(text) and b.decode([got], PATH) == [text.encode()]
+    assert not list(tmp_path.iterdir())
 
 
 def test_streams_out_of_order_are_sorted(encoder, truth, monkeypatch):
