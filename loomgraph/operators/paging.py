@@ -20,57 +20,74 @@ def page(rows: DataFrame, after: int, size: int, until: int | None = None) -> Da
     return beyond.join(some, "subject", "left_semi")
 
 
-def _prefix(rows: DataFrame, key: str, weight: Column, parts: int) -> DataFrame:
-    """``rows`` with ``upto``: the weight of all rows up to each, in the order of ``key``, which must be distinct.
+def _ranged(rows: DataFrame, key: str, parts: int | None) -> tuple[DataFrame, str]:
+    """Distinct rows, stored in the order of ``key``, which tells them apart: ``range`` and ``nth``, the place in it, from 0.
 
-    Ranges of the key are sorted side by side; only their totals, a row a range, meet in one place.
+    Ranges are sorted side by side.  They are stored, because the bounds of ranges come from a sample: two plans of the
+    same rows need not cut them alike.
     """
-    ordered = rows.withColumn("weight", weight.cast("long")).repartitionByRange(parts, key).withColumn("range", F.spark_partition_id())
-    own = Window.partitionBy("range").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    ordered = ordered.withColumn("own", F.sum("weight").over(own))
-    totals = ordered.groupBy("range").agg(F.sum("weight").alias("total"))
+    dealt = rows.repartitionByRange(parts, key) if parts else rows.repartitionByRange(key)
+    at = F.monotonically_increasing_id()  # the partition's number, then the row's in it
+    ordered = dealt.distinct().sortWithinPartitions(key)
+    return stored(ordered.select("*", F.shiftrightunsigned(at, 33).cast("int").alias("range"), at.bitwiseAND(F.lit((1 << 33) - 1)).alias("nth")), "ranged")
+
+
+def _totals(table: DataFrame, weight: Column) -> DataFrame:
+    """A row a range: ``range`` and ``base``, the weight of all ranges before."""
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    bases = totals.select("range", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    return ordered.join(F.broadcast(bases), "range").withColumn("upto", F.col("base") + F.col("own")).drop("range", "own", "base", "weight")
+    each = table.groupBy("range").agg(F.sum(weight).alias("total"))
+    return each.select("range", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
+
+
+def _placed(table: DataFrame) -> DataFrame:
+    """A stored table of ranges with ``place``, the number of each row in the whole order, from 0."""
+    return table.join(F.broadcast(_totals(table, F.lit(1))), "range").withColumn("place", F.col("base") + F.col("nth")).drop("base")
 
 
-def _numbered(subjects: DataFrame, parts: int) -> DataFrame:
-    """Distinct subjects with their place in order, from 0."""
-    return _prefix(subjects.select("subject").distinct(), "subject", F.lit(1), parts).select("subject", (F.col("upto") - 1).alias("place"))
+def _beside(table: DataFrame, step: int, **columns: str) -> DataFrame:
+    """With columns of the row before (step -1) or after (1) in the whole order; at a range's edge they come from the next range."""
+    move = F.lag if step < 0 else F.lead
+    order = Window.orderBy("range")
+    pick = F.max_by if step < 0 else F.min_by
+    edges = table.groupBy("range").agg(*[pick(c, "nth").alias(f"edge_{n}") for n, c in columns.items()])
+    edges = edges.select("range", *[move(f"edge_{n}").over(order).alias(f"edge_{n}") for n in columns])  # a row a range
+    own = Window.partitionBy("range").orderBy("nth")
+    shifted = table.select("*", *[move(c).over(own).alias(f"own_{n}") for n, c in columns.items()]).join(F.broadcast(edges), "range")
+    beside = shifted.select("*", *[F.coalesce(f"own_{n}", f"edge_{n}").alias(n) for n in columns])
+    return beside.drop(*[f"{kind}_{n}" for n in columns for kind in ("own", "edge")])
 
 
-def chunk_ids(subjects: DataFrame, size: int, parts: int = 64) -> DataFrame:
+def chunk_ids(subjects: DataFrame, size: int, parts: int | None = None) -> DataFrame:
     """``subject`` and ``chunk``: the number of the page of ``size`` subjects that it is on."""
-    return _numbered(subjects, parts).select("subject", F.expr(f"place div {size}").alias("chunk"))
+    table, _ = _ranged(subjects.select("subject"), "subject", parts)
+    return _placed(table).select("subject", F.expr(f"place div {size}").alias("chunk"))
 
 
-def gaps(subjects: DataFrame, parts: int = 64) -> DataFrame:
+def gaps(subjects: DataFrame, parts: int | None = None) -> DataFrame:
     """``subject`` and ``gap`` to the subject before; the first has none."""
-    ranked = _numbered(subjects, parts)
-    following = ranked.select((F.col("place") + 1).alias("place"), F.col("subject").alias("before"))
-    return ranked.join(following, "place").select("subject", (F.col("subject") - F.col("before")).alias("gap"))
+    table, _ = _ranged(subjects.select("subject"), "subject", parts)
+    return _beside(table, -1, before="subject").filter("before IS NOT NULL").select("subject", (F.col("subject") - F.col("before")).alias("gap"))
 
 
-def upper_median_gap(subjects: DataFrame, parts: int = 64) -> DataFrame:
+def upper_median_gap(subjects: DataFrame, parts: int | None = None) -> DataFrame:
     """The upper median of the gaps, as ``median``; null if there are none."""
-    counted, _ = stored(gaps(subjects, parts).groupBy("gap").agg(F.count(F.lit(1)).alias("n")), "gaps")
-    half = counted.agg(F.coalesce(F.expr("sum(n) div 2"), F.lit(0)).alias("half"))
-    ranked = _prefix(counted, "gap", F.col("n"), parts)
-    return ranked.join(F.broadcast(half), F.col("upto") > F.col("half")).agg(F.min("gap").alias("median"))
+    table, _ = _ranged(gaps(subjects, parts).groupBy("gap").agg(F.count(F.lit(1)).alias("n")), "gap", parts)
+    half = table.agg(F.coalesce(F.expr("sum(n) div 2"), F.lit(0)).alias("half"))
+    own = Window.partitionBy("range").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
+    upto = table.withColumn("own", F.sum("n").over(own)).join(F.broadcast(_totals(table, F.col("n"))), "range")
+    return upto.join(F.broadcast(half), F.col("base") + F.col("own") > F.col("half")).agg(F.min("gap").alias("median"))
 
 
-def dense_runs(subjects: DataFrame, threshold: int, repeats: int = 1, parts: int = 64) -> DataFrame:
+def dense_runs(subjects: DataFrame, threshold: int, repeats: int = 1, parts: int | None = None) -> DataFrame:
     """Runs of subjects whose gaps are below ``threshold``, of at least ``repeats`` gaps: ``first``, ``last``, ``subjects``."""
-    ranked, _ = stored(_numbered(subjects, parts), "ranked")
-    near = lambda step, name: ranked.select((F.col("place") + step).alias("place"), F.col("subject").alias(name))
-    both = ranked.join(near(1, "before"), "place", "left").join(near(-1, "after"), "place", "left")
-    starts = both.filter("before IS NULL OR subject - before >= %d" % threshold).select(F.col("subject").alias("first"), F.col("place").alias("begin"))
-    ends = both.filter("after IS NULL OR after - subject >= %d" % threshold).select(F.col("subject").alias("last"), F.col("place").alias("end"))
-    # the nth run begins at the nth start and ends at the nth end
-    number = lambda rows, column: _numbered(rows.withColumnRenamed(column, "subject"), parts).select(F.col("subject").alias(column), F.col("place").alias("run"))
-    begun = starts.join(number(starts.select("first"), "first"), "first")
-    ended = ends.join(number(ends.select("last"), "last"), "last")
-    runs = begun.join(ended, "run").select("first", "last", (F.col("end") - F.col("begin") + 1).alias("subjects"))
+    table, _ = _ranged(subjects.select("subject"), "subject", parts)
+    begins = _beside(_placed(table), -1, before="subject").filter(f"before IS NULL OR subject - before >= {threshold}")
+    # a run ends before the next one begins, and the last run with the last subject
+    starts, _ = _ranged(begins.select("subject", "place", "before"), "subject", parts)
+    whole = table.agg(F.max("subject").alias("highest"), F.count(F.lit(1)).alias("total"))
+    runs = _beside(starts, 1, last="before", end="place").join(F.broadcast(whole)).select(
+        F.col("subject").alias("first"), F.coalesce("last", "highest").alias("last"), (F.coalesce("end", "total") - F.col("place")).alias("subjects")
+    )
     return runs.filter(F.col("subjects") > repeats)
 
 

@@ -8,10 +8,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.functions.types import KINDS, TYPE_PREDICATE, VALUE_COLUMNS, escaped_name, rotated_array, uid_from_hex, uid_to_hex
+from loomgraph.functions.storage import scratch
+from loomgraph.functions.types import KINDS, TYPE_PREDICATE, VALUE_COLUMNS, Predicate, escaped_name, parse_timestamp, rotated_array, uid_from_hex, uid_to_hex
 from loomgraph.operators import algorithms, filters, layouts, paging, partitioned, views
-from loomgraph.plans import partitioner
-from loomgraph.plans.catalog import ReservedFilter
+from loomgraph.plans import density, partitioner
+from loomgraph.plans.catalog import ClusterState, ReservedFilter, Schema
+from loomgraph.sources.results import graph_of_results
+from loomgraph.sources.stored import register_formats, snapshot, write_graph
 from loomgraph.sources.tables import EDGE_TYPES, JOINED, NODE_TYPES, STRIDE, graph_of_tables, schema_of_tables, state_of_tables, uid_sql
 from loomgraph.streaming.events import windowed
 
@@ -102,14 +105,6 @@ query(
 )(lambda g: g.schema.to_frame(g.spark))
 query(
     "node_maps",
-    _with(f"""SELECT subject, len(list(DISTINCT predicate)) AS n, string_agg(predicate || '=' || value, ';' ORDER BY predicate) AS pairs
-        FROM (SELECT subject, predicate, min({_TEXT}) AS value FROM triples WHERE "objectType" <> 'uid' AND predicate NOT LIKE 'text%' GROUP BY ALL) GROUP BY subject"""),
-)(lambda g: layouts.node_maps(g.only(p for p in g.schema.by_name if p != "text")).select(
-    "subject", F.size("properties").cast("long").alias("n"),
-    F.array_join(F.transform(F.map_entries("properties"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("pairs"),
-))
-query(
-    "node_maps_whole",
     _with(f"""SELECT subject, len(list(DISTINCT predicate)) AS n, string_agg(predicate || '=' || value, ';' ORDER BY predicate) AS pairs
         FROM (SELECT subject, predicate, min({_TEXT}) AS value FROM triples WHERE "objectType" <> 'uid' GROUP BY ALL) GROUP BY subject"""),
 )(lambda g: layouts.node_maps(g).select(
@@ -117,6 +112,48 @@ query(
     F.array_join(F.transform(F.map_entries("properties"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";").alias("pairs"),
 ))
 
+# -- query results in JSON
+
+_SEEN = Schema.of(
+    [Predicate("name", "string"), Predicate("alias", "string", True), Predicate("acctbal", "float"), Predicate("tags", "string"), Predicate("customer.nation", "uid")]
+)
+
+
+def _results(g) -> DataFrame:
+    """Customers as a store's results, a report each, with texts and lists that look like one another."""
+    uid = lambda kind, key: uid_to_hex(F.expr(uid_sql(kind, key)))
+    node = F.struct(
+        uid("Customer", "c_custkey").alias("uid"), F.concat(F.lit("[draft] "), "c_name").alias("name"), F.col("c_name").alias("alias@en"),
+        F.lit("dropped").alias("other@en"), F.col("c_acctbal").alias("acctbal"), F.array("c_mktsegment", F.concat(F.lit('["'), "c_mktsegment", F.lit('"]'))).alias("tags"),
+        F.array(F.struct(uid("Nation", "c_nationkey").alias("uid"))).alias("customer.nation"),
+    )
+    customers = next(t.table for t in g.node_tables if "mktsegment" in t.columns)
+    return customers.select(F.to_json(F.struct(F.array(node).alias("result"))).alias("value"))
+
+
+_CUSTOMER = uid_sql("Customer", "c_custkey")
+query(
+    "json_triples",
+    f"""SELECT {_CUSTOMER} AS subject, 'name' AS predicate, {_values('string', "'[draft] ' || c_name")} FROM customer
+        UNION ALL SELECT {_CUSTOMER}, 'alias@en', {_values('string', 'c_name')} FROM customer
+        UNION ALL SELECT {_CUSTOMER}, 'acctbal', {_values('float', 'c_acctbal')} FROM customer WHERE c_acctbal IS NOT NULL
+        UNION ALL SELECT {_CUSTOMER}, 'tags', {_values('string', 'c_mktsegment')} FROM customer
+        UNION ALL SELECT {_CUSTOMER}, 'tags', {_values('string', """'["' || c_mktsegment || '"]'""")} FROM customer
+        UNION ALL SELECT {_CUSTOMER}, 'customer.nation', {_values('uid', uid_sql('Nation', 'c_nationkey'))} FROM customer""",
+)(lambda g: layouts.typed_triples(graph_of_results(_results(g), _SEEN)))
+query("json_wide", f"SELECT {_CUSTOMER} AS subject, c_acctbal AS acctbal, NULL::VARCHAR AS alias, '[draft] ' || c_name AS name, c_mktsegment AS tags FROM customer")(
+    lambda g: layouts.wide_nodes(graph_of_results(_results(g), _SEEN))
+)
+_REPORT = """{"groups": {"1": {"members": {"1": {"addr": "node1:5080"}}, "tablets": {"a": {"predicate": "0-name"}, "b": {"predicate": "\\u0000\\u0000title"}}},
+    "2": {"members": {"2": {"addr": "node2:5080"}, "3": {"addr": "node3:5081"}}, "tablets": {"c": {"predicate": "7-other"}, "d": {"predicate": "size"}}}},
+    "maxUID": "10000", "cid": "350fd4f5-771d-4021-8ef9-cd1b79aa6ea0"}"""
+query("cluster_state", "FROM (VALUES ('1', 'name', 'node1:7080', 10000), ('1', 'title', 'node1:7080', 10000), ('2', 'size', 'node2:7080,node3:7081', 10000)) AS t(grp, predicate, targets, highest)")(
+    lambda g: g.spark.createDataFrame(
+        [(k, p, ",".join(sorted(state.members[k])), state.max_uid) for state in [ClusterState.from_json(_REPORT)] for k, names in state.predicates.items() for p in names],
+        "grp string, predicate string, targets string, highest int",
+    )
+)
+
 # -- filters
 
 _ONE, _FEW = _uid("Customer", 5), [_uid("Nation", 3), _uid("Customer", 5), _uid("Order", 7)]
@@ -157,6 +194,9 @@ for _name, _operator in (("lt", "<"), ("le", "<="), ("gt", ">"), ("ge", ">=")):
     )
 _NATIONS = [_uid("Nation", 3), _uid("Nation", 7)]
 query("filter_edge_uid_in", _with(f"FROM edges WHERE \"objectUid\" IN ({', '.join(map(str, _NATIONS))})", _EDGES))(lambda g: layouts.edges(g).where(filters.edge_to(*_NATIONS)))
+query("filter_any_value", _with("FROM triples WHERE " + " OR ".join(f"CAST(\"{c}\" AS VARCHAR) IN ('7', 'BUILDING', 'true')" for c in _COLUMNS)))(
+    lambda g: layouts.typed_triples(g).where(filters.any_value(7, "BUILDING", "true"))
+)
 query("lang_strings", _with("SELECT subject, predicate, \"objectString\" FROM triples WHERE predicate LIKE 'text@%'"))(
     lambda g: layouts.typed_triples(g.only(["text"])).where(F.col("predicate").startswith("text@")).select("subject", "predicate", "objectString")
 )
@@ -192,7 +232,7 @@ query("has_then_get", _with(f"SELECT subject, \"objectString\" FROM triples WHER
 query("nodes_union", _with(f"{_HAS('brand')} UNION {_HAS('mktsegment')}"))(lambda g: filters.has_any(g, "brand").unionAll(filters.has_any(g, "mktsegment")).distinct())
 query("nodes_intersect", _with(f"{_HAS('name')} INTERSECT {_HAS('acctbal')}"))(lambda g: filters.has_any(g, "name").intersect(filters.has_any(g, "acctbal")))
 query("nodes_except", _with(f"{_HAS('name')} EXCEPT {_HAS('acctbal')}"))(lambda g: filters.lacking(filters.has_any(g, "name"), filters.has_any(g, "acctbal")))
-query("anti_reserved_nodes", _with("SELECT * FROM triples t WHERE NOT EXISTS (SELECT 1 FROM triples r WHERE r.subject = t.subject AND r.predicate = 'graph.type' AND r.\"objectString\" IN ('Document', 'Event', 'Order'))"))(
+query("anti_reserved_nodes", _with("FROM triples WHERE subject NOT IN (FROM gone)", "gone AS MATERIALIZED (SELECT DISTINCT subject FROM triples WHERE predicate = 'graph.type' AND \"objectString\" IN ('Document', 'Event', 'Order'))"))(
     lambda g: filters.lacking(
         layouts.typed_triples(g), layouts.typed_triples(g.only([TYPE_PREDICATE])).where(filters.object_in("objectString", "Document", "Event", "Order")).select("subject")
     )
@@ -239,6 +279,9 @@ query("dense_runs", _with("""SELECT min(subject) AS first, max(subject) AS last,
     SELECT subject, CASE WHEN subject - lag(subject) OVER (ORDER BY subject) < 100 THEN 0 ELSE 1 END AS begins FROM subjects)) GROUP BY run HAVING count(*) > 2""", _SUBJECTS))(
     lambda g: paging.dense_runs(layouts.typed_triples(g.only([TYPE_PREDICATE])), 100, 2)
 )
+query("id_probe", _with(f"SELECT subject FROM subjects WHERE subject >= {_uid('Customer', 7)} ORDER BY subject LIMIT 20", _SUBJECTS))(
+    lambda g: g.spark.createDataFrame([(u,) for u in paging.prober(layouts.typed_triples(g.only([TYPE_PREDICATE])))(_uid("Customer", 7), 20)], "subject long")
+)
 query("id_histogram", _with(f"SELECT subject // {STRIDE} AS bucket, count(*) AS n FROM subjects GROUP BY 1", _SUBJECTS))(
     lambda g: paging.id_histogram(layouts.typed_triples(g), STRIDE)
 )
@@ -284,13 +327,40 @@ query("read_plan", _with("SELECT predicate, count(*) AS n FROM triples GROUP BY
 )
 
 
+query("read_plan_capped", _with("SELECT predicate, count(*) AS n FROM triples GROUP BY predicate"))(
+    lambda g: partitioned.read_plan(g, _capped(g)).groupBy("predicate").agg(F.count(F.lit(1)).alias("n"))
+)
+query("transaction_read", _with("FROM triples WHERE predicate IN ('name', 'nation.region')"))(lambda g: layouts.typed_triples(snapshot(g.only(["name", "nation.region"]))))
+query("format_edges", _with(f"FROM edges WHERE predicate = 'customer.nation' AND subject < {_uid('Customer', 500)}", _EDGES))(
+    lambda g: _by_format(g, "loomgraph-edges").where((F.col("predicate") == "customer.nation") & (F.col("subject") < _uid("Customer", 500)))
+)
+query("format_triples", _with("FROM triples WHERE predicate = 'acctbal' AND \"objectDouble\" > 9000"))(
+    lambda g: _by_format(g, "loomgraph-triples").where((F.col("predicate") == "acctbal") & (F.col("objectDouble") > 9000))
+)
+
+
+def _by_format(g, name: str) -> DataFrame:
+    """Two edges and a property, stored, and read through a data source format."""
+    path = scratch(g.spark, "graph")
+    write_graph(g.only(["customer.nation", "nation.region", "acctbal"]), path)
+    register_formats(g.spark)
+    return g.spark.read.format(name).load(path)
+
+
+def _capped(g) -> list[partitioner.Part]:
+    """Six ranges at most, cut where a search finds that the ids are no longer dense."""
+    probe = paging.prober(layouts.typed_triples(g.only([TYPE_PREDICATE])))
+    detect = lambda part, uids: density.dense_end(probe, STRIDE, uids, 10)
+    return partitioner.uid_range(partitioner.singleton(_STATE, g.schema), _highest(g), 1_000_000, 6, detect)
+
+
 def _highest(g) -> int:
     """The highest subject of any triple."""
     return reduce(DataFrame.unionAll, [b.table.select(b.subject.alias("subject")) for b in g.branches]).agg(F.max("subject")).first()[0] or 1
 
 
-query("array_rotation", _with("SELECT subject, string_agg(predicate, ',' ORDER BY predicate <= first, predicate) AS turned FROM (SELECT *, min(predicate) OVER (PARTITION BY subject) AS first FROM (SELECT DISTINCT subject, predicate FROM triples WHERE predicate NOT LIKE '%@%')) GROUP BY subject"))(
-    lambda g: layouts.typed_triples(g).where("predicate NOT LIKE '%@%'").groupBy("subject").agg(F.sort_array(F.collect_set("predicate")).alias("p"))
+query("array_rotation", _with("SELECT subject, string_agg(predicate, ',' ORDER BY predicate <= first, predicate) AS turned FROM (SELECT *, min(predicate) OVER (PARTITION BY subject) AS first FROM (SELECT DISTINCT subject, predicate FROM triples)) GROUP BY subject"))(
+    lambda g: layouts.typed_triples(g).groupBy("subject").agg(F.sort_array(F.collect_set("predicate")).alias("p"))
     .select("subject", F.array_join(rotated_array(F.col("p"), 1), ",").alias("turned"))
 )
 query("predicate_metrics", _with("SELECT predicate, count(*) AS triples, count(DISTINCT subject) AS subjects, min(subject) AS first, max(subject) AS last FROM triples GROUP BY predicate"))(
@@ -322,6 +392,10 @@ query("pagerank", _with("SELECT id, round(rank * (count(*) OVER ()) / sum(rank)
     lambda g: algorithms.pagerank(layouts.typed_triples(g.only([TYPE_PREDICATE])).select(F.col("subject").alias("id")), views.frame_edges(g), 10).select("id", F.round("pagerank", 6).alias("pagerank"))
 )
 _CLOSING = " UNION ALL SELECT DISTINCT o.src, n.dst FROM links o JOIN links n ON n.src = o.dst WHERE o.predicate = 'order.customer'"
+# no path of the graph is longer than ten edges, after which no rank moves
+query("pagerank_tolerance", ORACLE_SQL["pagerank"])(
+    lambda g: algorithms.pagerank(layouts.typed_triples(g.only([TYPE_PREDICATE])).select(F.col("subject").alias("id")), views.frame_edges(g), tolerance=1e-9).select("id", F.round("pagerank", 6).alias("pagerank"))
+)
 query(
     "triangle_count",
     _with(
@@ -347,3 +421,7 @@ def _triangles(g) -> DataFrame:
 
 QUERIES["event_windows"] = lambda spark, folder: windowed(spark.read.parquet(f"{folder}/events.parquet"), "1 hour").withColumn("value", F.round("value", 4))
 ORACLE_SQL["event_windows"] = "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS events, round(sum(value), 4) AS value FROM events GROUP BY ALL"
+QUERIES["parsed_dates"] = lambda spark, folder: spark.read.parquet(f"{folder}/events.parquet").select(
+    "event_id", parse_timestamp(F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+02:00"))).alias("ts")
+)
+ORACLE_SQL["parsed_dates"] = "SELECT event_id, ts FROM events"

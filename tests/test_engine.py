@@ -1,16 +1,18 @@
 import duckdb
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo, GreaterThan, IsNotNull
 
 import __spark_entry__ as entry
 from film import SCHEMA, TREK, results
-from loomgraph.functions.types import parse_timestamp, rotated_array, uid_from_hex, unsigned_order
+from loomgraph.functions.storage import shared_folder
+from loomgraph.functions.types import TYPED_TRIPLES, parse_timestamp, rotated_array, uid_from_hex, unsigned_order
 from loomgraph.operators import algorithms, filters, layouts, paging, partitioned
 from loomgraph.plans.partitioner import Part
 from loomgraph.queries import ORACLE_SQL, QUERIES
 from loomgraph.reader import install
 from loomgraph.sources.results import graph_of_results
-from loomgraph.sources.stored import read_graph, register_formats, write_graph
+from loomgraph.sources.stored import _Reader, read_graph, register_formats, write_graph
 from loomgraph.sources.tables import graph_of_tables, state_of_tables
 from loomgraph.streaming.events import read_events, windowed
 
@@ -34,7 +36,8 @@ def rows_of(columns, rows):
 CORE = [
     "triples_typed", "triples_string", "nodes_wide", "edges", "filter_subject_eq", "filter_subject_in", "filter_predicate_in", "filter_residual", "has_and_has",
     "lang_strings", "anti_reserved_nodes", "chunk_ids", "uid_gaps", "dense_runs", "sparsity_median", "part_predicate_uid_range", "part_alpha", "gf_vertices",
-    "triplets", "pagerank", "triangle_count", "event_windows", "reserved_include", "array_rotation",
+    "triplets", "pagerank", "pagerank_tolerance", "triangle_count", "event_windows", "reserved_include", "array_rotation", "json_triples", "json_wide",
+    "cluster_state", "filter_any_value", "id_probe", "transaction_read", "format_edges", "format_triples", "parsed_dates",
 ]
 
 
@@ -181,6 +184,55 @@ def test_paging(spark):
         paging.page(rows, 0, 0)
 
 
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_numbers_do_not_depend_on_reused_exchanges(spark, reuse):
+    """Gaps of 1 to 7 by a rule, rows in a mixed order, some of them twice."""
+    n = 1_000_000
+    mixed = spark.range(n + 1000).select(((F.col("id") * 7919) % n).alias("i"))
+    rows = mixed.select((F.col("i") * 4 + F.col("i") % 4).alias("subject"))
+    before = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        wrong = paging.chunk_ids(rows, 1000).filter("chunk <> subject div 4000").count()
+        counted = paging.chunk_ids(rows, 1000).count()
+        own = {r.gap: r["count"] for r in paging.gaps(rows).groupBy("gap").count().collect()}
+        median = paging.upper_median_gap(rows).first().median
+        runs = paging.dense_runs(rows.filter("subject % 40000 >= 20000"), 100)
+        found = [tuple(r) for r in runs.orderBy("first").collect()]
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)
+    assert (wrong, counted, median) == (0, n, 5)
+    assert own == {5: n // 4 * 3, 1: n // 4 - 1}
+    assert found == [(a + 20000, a + 39999, 5000) for a in range(0, 4 * n, 40000)]
+
+
+def test_storage_needs_a_shared_folder(monkeypatch):
+    class Session:
+        conf = {}
+
+        class sparkContext:
+            master = "spark://somewhere:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        shared_folder(Session)
+
+
+def test_pushed_filters_reach_files(spark, film, tmp_path):
+    path = str(tmp_path / "pushed")
+    write_graph(film, path)
+    reader = _Reader(path, TYPED_TRIPLES, None)
+    left = list(reader.pushFilters([EqualTo(("predicate",), "title@en"), GreaterThan(("subject",), 7), EqualTo(("objectDouble",), 1.5), IsNotNull(("objectString",))]))
+    assert [type(f).__name__ for f in left] == ["EqualTo"]
+    assert {p.value.split("/")[-2] for p in reader.partitions()} == {"folder=title"}
+    assert sum(b.num_rows for p in reader.partitions() for b in reader.read(p)) == 2  # films 8 and 9
+    register_formats(spark)
+    rows = spark.read.format("loomgraph-triples").load(path)
+    for condition in ("predicate = 'title@en' AND subject > 7", "predicate IN ('name', 'title') AND subject < 8", "objectString = 'Han Solo'", "objectDouble > 5.4e8", "subject = 8 AND objectLong IS NOT NULL", "predicate = 'none'"):
+        expected = layouts.typed_triples(film).where(condition)
+        assert rows.where(condition).exceptAll(expected).isEmpty() and rows.where(condition).count() == expected.count()
+
+
 def test_triangles(spark):
     ids = spark.createDataFrame([(i,) for i in range(6)], "id long")
     links = spark.createDataFrame([(0, 1), (1, 2), (2, 0), (2, 0), (2, 3), (3, 0), (4, 4)], "src long, dst long")
