@@ -20,7 +20,7 @@ def page(rows: DataFrame, after: int, size: int, until: int | None = None) -> Da
     return beyond.join(some, "subject", "left_semi")
 
 
-def _ranged(rows: DataFrame, key: str, parts: int | None) -> tuple[DataFrame, str]:
+def ranged(rows: DataFrame, key: str, parts: int | None = None) -> tuple[DataFrame, str]:
     """Distinct rows, stored in the order of ``key``, which tells them apart: ``range`` and ``nth``, the place in it, from 0.
 
     Ranges are sorted side by side.  They are stored, because the bounds of ranges come from a sample: two plans of the
@@ -39,7 +39,7 @@ def _totals(table: DataFrame, weight: Column) -> DataFrame:
     return each.select("range", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
 
 
-def _placed(table: DataFrame) -> DataFrame:
+def placed(table: DataFrame) -> DataFrame:
     """A stored table of ranges with ``place``, the number of each row in the whole order, from 0."""
     return table.join(F.broadcast(_totals(table, F.lit(1))), "range").withColumn("place", F.col("base") + F.col("nth")).drop("base")
 
@@ -59,19 +59,19 @@ def _beside(table: DataFrame, step: int, **columns: str) -> DataFrame:
 
 def chunk_ids(subjects: DataFrame, size: int, parts: int | None = None) -> DataFrame:
     """``subject`` and ``chunk``: the number of the page of ``size`` subjects that it is on."""
-    table, _ = _ranged(subjects.select("subject"), "subject", parts)
-    return _placed(table).select("subject", F.expr(f"place div {size}").alias("chunk"))
+    table, _ = ranged(subjects.select("subject"), "subject", parts)
+    return placed(table).select("subject", F.expr(f"place div {size}").alias("chunk"))
 
 
 def gaps(subjects: DataFrame, parts: int | None = None) -> DataFrame:
     """``subject`` and ``gap`` to the subject before; the first has none."""
-    table, _ = _ranged(subjects.select("subject"), "subject", parts)
+    table, _ = ranged(subjects.select("subject"), "subject", parts)
     return _beside(table, -1, before="subject").filter("before IS NOT NULL").select("subject", (F.col("subject") - F.col("before")).alias("gap"))
 
 
 def upper_median_gap(subjects: DataFrame, parts: int | None = None) -> DataFrame:
     """The upper median of the gaps, as ``median``; null if there are none."""
-    table, _ = _ranged(gaps(subjects, parts).groupBy("gap").agg(F.count(F.lit(1)).alias("n")), "gap", parts)
+    table, _ = ranged(gaps(subjects, parts).groupBy("gap").agg(F.count(F.lit(1)).alias("n")), "gap", parts)
     half = table.agg(F.coalesce(F.expr("sum(n) div 2"), F.lit(0)).alias("half"))
     own = Window.partitionBy("range").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
     upto = table.withColumn("own", F.sum("n").over(own)).join(F.broadcast(_totals(table, F.col("n"))), "range")
@@ -80,10 +80,10 @@ def upper_median_gap(subjects: DataFrame, parts: int | None = None) -> DataFrame
 
 def dense_runs(subjects: DataFrame, threshold: int, repeats: int = 1, parts: int | None = None) -> DataFrame:
     """Runs of subjects whose gaps are below ``threshold``, of at least ``repeats`` gaps: ``first``, ``last``, ``subjects``."""
-    table, _ = _ranged(subjects.select("subject"), "subject", parts)
-    begins = _beside(_placed(table), -1, before="subject").filter(f"before IS NULL OR subject - before >= {threshold}")
+    table, _ = ranged(subjects.select("subject"), "subject", parts)
+    begins = _beside(placed(table), -1, before="subject").filter(f"before IS NULL OR subject - before >= {threshold}")
     # a run ends before the next one begins, and the last run with the last subject
-    starts, _ = _ranged(begins.select("subject", "place", "before"), "subject", parts)
+    starts, _ = ranged(begins.select("subject", "place", "before"), "subject", parts)
     whole = table.agg(F.max("subject").alias("highest"), F.count(F.lit(1)).alias("total"))
     runs = _beside(starts, 1, last="before", end="place").join(F.broadcast(whole)).select(
         F.col("subject").alias("first"), F.coalesce("last", "highest").alias("last"), (F.coalesce("end", "total") - F.col("place")).alias("subjects")
