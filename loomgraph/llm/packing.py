@@ -4,8 +4,8 @@
    and numbers its pieces within each length.  The pieces become a table.
 2. The histogram of piece lengths, at most ``capacity`` rows whatever the
    input, goes to the driver, where :func:`plan` fills sequences: it opens one
-   with the largest length left and asks an index of the lengths left for a
-   single, a pair or a triple that exactly fills the gap; failing that, it adds
+   with the largest length left and asks an index of the sums of one, two or
+   three lengths left for those that exactly fill the gap; failing that, it adds
    the largest length that fits (best fit) and asks again.  What a step
    consumes, it consumes as often as the counts allow, so the number of steps
    depends on the number of lengths and not on the number of documents.
@@ -14,8 +14,9 @@
    range gives its sequence and place.
 
 Edge cases: a null or empty text is one piece that holds only the end id; equal
-texts are packed as often as they occur; null ids pass through; an empty table
-gives an empty table; columns other than the id and the text are not read.
+texts are packed as often as they occur; a text of any length is read whole and cut
+after it is tokenised; null ids pass through; an empty table gives an empty table;
+columns other than the id and the text are not read, so that none can clash.
 """
 
 from __future__ import annotations
@@ -37,8 +38,8 @@ from pyspark.sql import types as T
 
 from loomgraph.llm.common import IdPool, each_slice, fields, written
 
-#: Words beyond which a worker forgets their ids.
-REMEMBERED = 600_000
+#: Words, and ids of all of them, beyond which a worker forgets them.
+REMEMBERED, REMEMBERED_IDS = 600_000, 8_000_000
 #: Text bytes that are encoded together.
 TEXT_BYTES = 8_000_000
 
@@ -118,7 +119,7 @@ class WordTokenizer(IdPool):
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         words = pc.dictionary_encode(lists.flatten())
         distinct = words.dictionary.to_pylist()
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED or len(self.pool) > REMEMBERED_IDS:
             self.forget()
         flat, ends = self.gather(self.learned(distinct)[words.indices.to_numpy()])
         cuts = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
@@ -181,58 +182,69 @@ def pieces(df: DataFrame, path: str, end_id: int = 1, capacity: int = 4096, id_c
 
 
 class ComplementIndex:
-    """The lengths left, as a bit set and its mirror image, to look up exact complements."""
+    """The lengths left, indexed by the sums that one, two or three of them make.
+
+    ``present`` has the single lengths.  ``pairs`` counts, for each sum, the pairs of lengths left that make it, and
+    ``larger`` has those pairs by their larger members; triples are found by their largest member and the sum that a pair
+    must add.  A length that is used up leaves all of them.
+    """
 
     def __init__(self, counts: dict[int, int], capacity: int):
         self.capacity = capacity
-        self.left = dict(counts)
-        self.bits = sum(1 << n for n, k in counts.items() if k)
-        self.mirror = sum(1 << (capacity - n) for n, k in counts.items() if k)
+        self.left = {n: k for n, k in counts.items() if k}
+        self.present = np.zeros(capacity + 1, bool)
+        self.present[list(self.left)] = True
+        self.larger: dict[int, np.ndarray] = {}
+        self.pairs = np.zeros(capacity + 1, np.int64)
+        for n in self.left:
+            self._count(n, 1)
+
+    def _count(self, n: int, by: int) -> None:
+        """Count, or discount, the pairs of ``n`` with itself and with every larger length."""
+        upto = self.capacity - n
+        if n <= upto:
+            self.pairs[2 * n : self.capacity + 1] += by * self.present[n : upto + 1]
 
     def take(self, length: int, many: int) -> None:
         self.left[length] -= many
         if not self.left[length]:
-            self.bits ^= 1 << length
-            self.mirror ^= 1 << (self.capacity - length)
+            self._count(length, -1)
+            below = np.flatnonzero(self.present[: min(length, self.capacity - length + 1)])
+            self.pairs[below + length] -= 1
+            self.present[length] = False
 
     def largest(self, most: int) -> int:
         """The largest length left of at most ``most``, or 0."""
-        return (self.bits & ((1 << (most + 1)) - 1)).bit_length() - 1 if most > 0 and self.bits & ((1 << (most + 1)) - 1) else 0
+        found = np.flatnonzero(self.present[: max(most, 0) + 1])
+        return int(found[-1]) if len(found) else 0
+
+    def has(self, lengths: tuple[int, ...], used: Counter) -> bool:
+        need = Counter(lengths)
+        return all(self.left.get(n, 0) >= k + used[n] for n, k in need.items())
 
     def pair(self, total: int, most: int, used: Counter) -> tuple[int, int] | None:
         """The pair with the largest member, of at most ``most``, that sums to ``total``."""
-        if total < 2:
+        if not 2 <= total <= self.capacity or not self.pairs[total]:
             return None
-        shift = self.capacity - total
-        both = self.bits & (self.mirror >> shift) & ((1 << (min(most, total - 1) + 1)) - 1)
-        while both:
-            a = both.bit_length() - 1
-            if 2 * a < total:
-                return None
-            b = total - a
-            if self.has((a, b), used):
-                return a, b
-            both ^= 1 << a
+        if total not in self.larger:
+            self.larger[total] = np.arange(total - 1, (total - 1) // 2, -1)
+        a = self.larger[total]
+        a = self.larger[total] = a[self.present[a] & self.present[total - a]]
+        for x in a[a <= most].tolist():
+            if self.has((x, total - x), used):
+                return x, total - x
         return None
 
-    def has(self, lengths: tuple[int, ...], used: Counter) -> bool:
-        need = Counter(lengths)
-        return all(self.left.get(n, 0) >= k + used[n] for n, k in need.items())
-
     def exact(self, gap: int, used: Counter) -> tuple[int, ...]:
         """A single, a pair or a triple of lengths left that sums to ``gap``, or nothing."""
-        if self.bits >> gap & 1 and self.has((gap,), used):
+        if self.present[gap] and self.has((gap,), used):
             return (gap,)
         if found := self.pair(gap, gap - 1, used):
             return found
-        rest = self.bits & ((1 << max(gap - 1, 0)) - 1)
-        while rest:
-            a = rest.bit_length() - 1
-            if 3 * a < gap:
-                return ()
-            if self.has((a,), used) and (found := self.pair(gap - a, a, used + Counter([a]))):
-                return (a, *found)
-            rest ^= 1 << a
+        a = np.arange(gap - 2, (gap + 2) // 3 - 1, -1)
+        for x in a[self.present[a] & (self.pairs[gap - a] > 0)].tolist() if gap > 2 else ():
+            if self.has((x,), used) and (found := self.pair(gap - x, x, used + Counter([x]))):
+                return (x, *found)
         return ()
 
 
@@ -304,8 +316,9 @@ def pack(df: DataFrame, path: str, end_id: int = 1, capacity: int = 4096, id_col
     return place(table, capacity)
 
 
-def digest(df: DataFrame, path: str, end_id: int = 1, capacity: int = 4096) -> DataFrame:
+def digest(df: DataFrame, path: str, end_id: int = 1, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every piece with the checksum of its ids, its sequence and its place."""
-    table, _ = written(pieces(df, path, end_id, capacity), "pieces")
-    short = table.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return place(short, capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    named = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    light = pieces(named, path, end_id, capacity).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    table, _ = written(light, "pieces")
+    return place(table, capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

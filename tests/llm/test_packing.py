@@ -1,5 +1,6 @@
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations_with_replacement
 
 import numpy as np
 import public_tokenizers as P
@@ -108,3 +109,29 @@ def test_tables(spark, truth):
 def test_triples_of_scarce_lengths():
     # 12 + 12 + 6 comes first and needs a second 12
     assert sorted(k.ComplementIndex({12: 1, 9: 2, 6: 1}, 30).exact(30, Counter())) == [9, 9, 12]
+
+
+@settings(deadline=None, max_examples=300)
+@given(st.dictionaries(st.integers(1, 24), st.integers(1, 3), max_size=9), st.lists(st.integers(1, 24), max_size=3), st.integers(1, 40))
+def test_every_exact_combination_is_found(counts, taken, gap):
+    index = k.ComplementIndex(counts, 40)
+    used = Counter()
+    for n in taken:  # some lengths are used up, and some are in the sequence that is being filled
+        if index.left.get(n, 0) > 1:
+            index.take(n, index.left[n] - 1)
+        elif index.left.get(n, 0):
+            index.take(n, 1)
+    for n in taken[:1]:
+        if index.left.get(n, 0):
+            used[n] += 1
+    left = Counter({n: c for n, c in index.left.items() if c}) - used
+    possible = {c for size in (1, 2, 3) for c in combinations_with_replacement(sorted(left), size) if sum(c) == gap and not Counter(c) - left}
+    found = index.exact(gap, used)
+    assert bool(found) == bool(possible) and (not found or tuple(sorted(found)) in possible)
+    pairs = Counter(a + b for a, b in combinations_with_replacement(sorted(n for n, c in index.left.items() if c), 2) if a + b <= 40)
+    assert {s: int(n) for s, n in enumerate(index.pairs) if n} == dict(pairs)
+
+
+def test_a_megabyte(spark, truth):
+    rows = [(1, "word " * 200_000), (2, "x" * 200_000), (3, "日本" * 100_000)]
+    check(truth, rows, k.digest(spark.createDataFrame(rows, "doc_id long, text string"), PATH).collect(), 4096)
