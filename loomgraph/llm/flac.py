@@ -1,17 +1,25 @@
 """FLAC media columns: lossless 8-bit mono streams, decoded into seekable PCM blocks.
 
 The encoder cuts a payload into frames, predicts each with the fixed polynomial
-(or, if asked, an LPC predictor) that leaves the smallest residuals, and Rice-codes those.
+or the quantised LPC predictor that leaves the smaller code, and Rice-codes the residuals,
+or keeps the frame verbatim where that is smaller.
 The decoder follows the published format: it finds frames by sync code and
 header CRC-8, verifies each frame's CRC-16, decodes constant, verbatim, fixed and
 LPC subframes with partitioned Rice residuals, and checks the stream's MD5.
 Frames of many streams are decoded side by side, one sample of each a step, so
 that the work is in vector operations.
 
-Edge cases: a null text counts as empty; an empty text is 64 zero bytes; row
-count, repeated rows, ties and null ids pass through; an empty table gives an
-empty table; columns other than the id and the text are not read.  A stream
-that fails a checksum raises ``ValueError``.
+The query stores the column of streams, reads it back, decodes it, stores the PCM
+blocks with their sample offsets, and takes digests and features from those as read.
+It does so for a share of the texts after the other (``WAVES``, by a hash of the text),
+and deletes the streams and blocks of one share before the next, so that it needs disk
+for one share only; every text is in one.
+
+Edge cases: a null text counts as empty; an empty text is 64 zero bytes; a text of
+any length is one stream of as many frames as it takes; row count, repeated rows,
+ties and null ids pass through; an empty table gives an empty table; columns other
+than the id and the text are not read, so that none can clash.  A stream that
+fails a checksum raises ``ValueError``; a null stream has no blocks.
 """
 
 from __future__ import annotations
@@ -20,20 +28,24 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomgraph.llm.common import each_slice, fields
+from loomgraph.llm.common import discard, each_slice, fields, slices, written
 
 #: Samples of a frame, and the sample rate that the header states.
 BLOCK, RATE = 4096, 8000
 #: Text bytes encoded, and stream bytes decoded, side by side.
 ENCODED, DECODED = 1_500_000, 5_000_000
-#: Precision of quantised LPC coefficients.
-PRECISION = 12
+#: Order of the LPC predictors that compete with the fixed ones, and precision of their quantised coefficients.
+LPC, PRECISION = 8, 12
+#: Shares of the texts that the query handles one after the other.
+WAVES = 2
 
 
 def _crc_step(value: int, poly: int, bits: int) -> int:
@@ -169,31 +181,48 @@ def _put(words: np.ndarray, ends: np.ndarray, values: np.ndarray) -> None:
     words[word[split] - 1] |= over[split]
 
 
-def encode_streams(payloads: list[bytes], lpc_order: int = 0, block: int = BLOCK) -> list[bytes]:
-    """Each payload, of a positive multiple of 64 bytes, as a FLAC stream."""
+def _rice(e: np.ndarray, coded: np.ndarray, starts: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Residuals as unsigned numbers, each frame's parameter, each residual's bits, and each frame's."""
+    u = (e << 1) ^ (e >> 31)
+    u[~coded] = 0
+    mean = np.add.reduceat(u, starts, dtype=np.int64) / np.maximum(sizes - order, 1)
+    k = np.clip(np.floor(np.log2(mean * 0.7 + 1e-3) + 1).astype(np.int64), 0, 14)
+    ks = np.repeat(k.astype(np.int32), sizes)
+    width = (u >> ks) + ks + 1
+    width[~coded] = 0
+    return u, k, width, np.add.reduceat(width, starts, dtype=np.int64)
+
+
+def encode_streams(payloads: list[bytes], lpc_order: int = LPC, block: int = BLOCK) -> list[bytes]:
+    """Each payload, of a positive multiple of 64 bytes, as a FLAC stream; order 0: by fixed predictors only."""
     if not payloads:
         return []
     counts = [-(-len(p) // block) for p in payloads]
     sizes = np.array([min(block, len(p) - s) for p in payloads for s in range(0, len(p), block)], np.int64)
     starts = np.cumsum(sizes) - sizes
     x = np.frombuffer(b"".join(payloads), np.uint8).astype(np.int32) - 128
-    if lpc_order:
-        coefs, shifts, e = _lpc(x, starts, sizes, lpc_order)
-        order = np.full(len(starts), lpc_order, np.int32)
-        extra = 4 + 5 + PRECISION * lpc_order
-    else:
-        order, e = _residuals(x, starts, sizes)
-        extra = 0
     place = np.arange(len(x)) - np.repeat(starts, sizes)
+    order, e = _residuals(x, starts, sizes)
     coded = place >= np.repeat(order, sizes)
-    u = (e << 1) ^ (e >> 31)
-    u[~coded] = 0
-    mean = np.add.reduceat(u, starts, dtype=np.int64) / np.maximum(sizes - order, 1)
-    k = np.clip(np.floor(np.log2(mean * 0.7 + 1e-3) + 1).astype(np.int64), 0, 14)
-    ks = np.repeat(k.astype(np.int32), sizes)
-    width = (u >> ks) + ks + 1
+    u, k, width, code_bits = _rice(e, coded, starts, sizes, order)
+    by_lpc = np.zeros(len(starts), bool)
+    if lpc_order:
+        coefs, shifts, other = _lpc(x, starts, sizes, lpc_order)
+        late = place >= lpc_order
+        found = _rice(other, late, starts, sizes, np.full(len(starts), lpc_order))
+        by_lpc = found[3] + 9 + (PRECISION + 8) * lpc_order < code_bits + 8 * order
+        many = np.repeat(by_lpc, sizes)
+        order, coded = np.where(by_lpc, lpc_order, order), np.where(many, late, coded)
+        u, width = np.where(many, found[0], u), np.where(many, found[2], width)
+        k, code_bits = np.where(by_lpc, found[1], k), np.where(by_lpc, found[3], code_bits)
+    extra = np.where(by_lpc, 4 + 5 + PRECISION * lpc_order, 0)
+    # what no predictor makes smaller is stored as it is: all samples stand where others have a few to start from
+    verbatim = 8 * order + extra + 10 + code_bits >= 8 * sizes
+    by_lpc &= ~verbatim
+    order, extra, code_bits = np.where(verbatim, sizes, order), np.where(verbatim, 0, extra), np.where(verbatim, 0, code_bits)
+    coded &= ~np.repeat(verbatim, sizes)
     width[~coded] = 0
-    code_bits = np.add.reduceat(width, starts, dtype=np.int64)
+    ks = np.repeat(k.astype(np.int32), sizes)
     heads = []
     for c, p in zip(counts, payloads, strict=True):
         for i in range(c):
@@ -201,8 +230,8 @@ def encode_streams(payloads: list[bytes], lpc_order: int = 0, block: int = BLOCK
             head = b"\xff\xf8\x74\x02" + _number(i) + struct.pack(">H", size - 1)  # 16-bit block size, 8 kHz, mono, 8 bits
             heads.append(head + bytes([crc8(head)]))
     head_size = np.array([len(h) for h in heads], np.int64)
-    kind = np.where(lpc_order > 0, 32 + lpc_order - 1, 8 + order)
-    code_at = 8 * head_size + 8 + 8 * order + extra + 10
+    kind = np.where(verbatim, 1, np.where(by_lpc, 32 + lpc_order - 1, 8 + order))
+    code_at = 8 * head_size + 8 + 8 * order + extra + np.where(verbatim, 0, 10)
     frame_size = -(-(code_at + code_bits) // 8) + 2
     frame_at = np.cumsum(frame_size) - frame_size
     words = np.zeros(int(frame_size.sum()) // 8 + 2, np.uint64)
@@ -215,13 +244,14 @@ def encode_streams(payloads: list[bytes], lpc_order: int = 0, block: int = BLOCK
     if len(warm):
         _put(words, (np.repeat(at, sizes)[warm] + 8 * place[warm] + 8), x[warm] & 255)
     at = at + 8 * order
-    if lpc_order:
-        _put(words, at + 4, np.full(len(starts), PRECISION - 1))
-        _put(words, at + 9, shifts)
+    if by_lpc.any():
+        own = at[by_lpc]
+        _put(words, own + 4, np.full(len(own), PRECISION - 1))
+        _put(words, own + 9, shifts[by_lpc])
         for j in range(lpc_order):
-            _put(words, at + 9 + PRECISION * (j + 1), coefs[j] & ((1 << PRECISION) - 1))
+            _put(words, own + 9 + PRECISION * (j + 1), coefs[j][by_lpc] & ((1 << PRECISION) - 1))
         at = at + extra
-    _put(words, at + 10, k)  # method 0, partition order 0, then the parameter
+    _put(words, (at + 10)[~verbatim], k[~verbatim])  # method 0, partition order 0, then the parameter
     packed = words.astype(">u8").view(np.uint8)[: int(frame_size.sum())]
     head_bytes = np.frombuffer(b"".join(heads), np.uint8)
     head_first = np.cumsum(head_size) - head_size
@@ -490,7 +520,12 @@ def feature(payload: bytes) -> str:
     return f"sum={int(x.sum())};energy={int((x * x).sum())};peak={int(np.abs(x).max())};crossings={crossings}"
 
 
-def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lpc_order: int = 0) -> DataFrame:
+def _named(df: DataFrame, *columns: str) -> DataFrame:
+    """The columns under private names, so that an id may have any name."""
+    return df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+
+
+def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lpc_order: int = LPC) -> DataFrame:
     """Every row's id, ``n_bytes`` of its text and ``media``, a FLAC stream of the padded bytes."""
     picked = fields(df, id_col, text_col)
     out = T.StructType(
@@ -508,32 +543,40 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lpc_or
     return picked.mapInArrow(run, out)
 
 
-def decode(df: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
-    """A row for each block of each stream: id, ``block``, ``sample_offset``, ``n_samples`` and ``pcm``."""
-    picked = fields(df, id_col, media_col)
-    out = T.StructType(
-        [
-            T.StructField(id_col, picked.schema[0].dataType),
-            T.StructField("block", T.IntegerType()),
-            T.StructField("sample_offset", T.LongType()),
-            T.StructField("n_samples", T.IntegerType()),
-            T.StructField("pcm", T.BinaryType()),
-        ]
-    )
+_BLOCK = T.StructType(
+    [T.StructField("block", T.IntegerType()), T.StructField("sample_offset", T.LongType()), T.StructField("n_samples", T.IntegerType()), T.StructField("pcm", T.BinaryType())]
+)
+
+
+def blocks(df: DataFrame, media_col: str = "media", *carried: str) -> DataFrame:
+    """Per stream the ``carried`` columns, ``media_bytes``, ``media_sha256`` and ``blocks``, an array of ``block``,
+    ``sample_offset``, ``n_samples`` and ``pcm``: a sample lies in the last block whose offset does not exceed it."""
+    picked = fields(df, media_col, *carried)
+    out = T.StructType([*picked.schema[1:], T.StructField("media_bytes", T.LongType()), T.StructField("media_sha256", T.StringType()), T.StructField("blocks", T.ArrayType(_BLOCK))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in each_slice(batches, media_col, DECODED):
-            part = part.filter(part.column(1).is_valid())
-            if not part.num_rows:
-                continue
-            rows = [(i, b, o, p) for i, blocks in enumerate(decode_streams(part.column(1).to_pylist())) for b, (o, p) in enumerate(blocks)]
+            media = part.column(0).to_pylist()
+            whole = [m for m in media if m is not None]
+            found = iter(decode_streams(whole))
+            own = [[] if m is None else next(found) for m in media]
+            ends = np.cumsum([0, *map(len, own)]).astype(np.int32)
+            flat = [b for each in own for b in each]
+            inner = pa.StructArray.from_arrays(
+                [
+                    pa.array([i for each in own for i in range(len(each))], pa.int32()),
+                    pa.array([o for o, _ in flat], pa.int64()),
+                    pa.array([len(p) for _, p in flat], pa.int32()),
+                    pa.array([p for _, p in flat], pa.binary()),
+                ],
+                names=_BLOCK.names,
+            )
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(0).take(pa.array([r[0] for r in rows], pa.int32())),
-                    pa.array([r[1] for r in rows], pa.int32()),
-                    pa.array([r[2] for r in rows], pa.int64()),
-                    pa.array([len(r[3]) for r in rows], pa.int32()),
-                    pa.array([r[3] for r in rows], pa.binary()),
+                    *part.columns[1:],
+                    pa.array([None if m is None else len(m) for m in media], pa.int64()),
+                    pa.array([None if m is None else hashlib.sha256(m).hexdigest() for m in media], pa.string()),
+                    pa.ListArray.from_arrays(pa.array(ends), inner),
                 ],
                 names=out.names,
             )
@@ -541,28 +584,49 @@ def decode(df: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> D
     return picked.mapInArrow(run, out)
 
 
-def digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Store every text as FLAC, read the stored bytes back, and return digests and features of both."""
-    stored = encode(df, id_col, text_col)
+def decode(df: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
+    """A row for each block of each stream: id, ``block``, ``sample_offset``, ``n_samples`` and ``pcm``."""
+    return blocks(_named(df, media_col, id_col), "c0", "c1").select(F.col("c1").alias(id_col), F.inline("blocks"))
+
+
+def _measured(df: DataFrame) -> DataFrame:
+    """Digests and features of the payloads whose blocks were read."""
     names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    kinds = [stored.schema[0].dataType, T.LongType(), T.LongType(), T.StringType(), T.LongType(), T.LongType(), T.StringType(), T.StringType()]
+    kinds = [df.schema["c1"].dataType, T.LongType(), T.LongType(), T.StringType(), T.LongType(), T.LongType(), T.StringType(), T.StringType()]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in each_slice(batches, "media", DECODED):
-            media = part.column(2).to_pylist()
-            payloads = [b"".join(p for _, p in blocks) for blocks in decode_streams(media)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column(0),
-                    part.column(1),
-                    pa.array([len(p) for p in payloads], pa.int64()),
-                    pa.array([hashlib.sha256(p).hexdigest() for p in payloads], pa.string()),
-                    pa.array([zlib.crc32(p[-64:]) for p in payloads], pa.int64()),
-                    pa.array([len(m) for m in media], pa.int64()),
-                    pa.array([hashlib.sha256(m).hexdigest() for m in media], pa.string()),
-                    pa.array([feature(p) for p in payloads], pa.string()),
-                ],
-                names=names,
-            )
-
-    return stored.mapInArrow(run, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)]))
+        for batch in batches:
+            for part in slices(batch, "blocks", DECODED):
+                held = part.column(4)
+                pcm, ends = held.flatten().field("pcm").to_pylist(), np.cumsum([0, *held.value_lengths().to_pylist()])
+                payloads = [b"".join(pcm[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        part.column(1),
+                        pa.array([len(p) for p in payloads], pa.int64()),
+                        pa.array([hashlib.sha256(p).hexdigest() for p in payloads], pa.string()),
+                        pa.array([zlib.crc32(p[-64:]) for p in payloads], pa.int64()),
+                        part.column(2),
+                        part.column(3),
+                        pa.array([feature(p) for p in payloads], pa.string()),
+                    ],
+                    names=names,
+                )
+
+    picked = df.select("c1", "n_bytes", "media_bytes", "media_sha256", "blocks")
+    return picked.mapInArrow(run, T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)]))
+
+
+def digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", waves: int = WAVES) -> DataFrame:
+    """Store every text as FLAC, read the stored bytes back, and return digests and features of both."""
+    named = _named(df, text_col, id_col)
+    parts = []
+    for wave in range(waves):
+        own = named.filter(F.pmod(F.xxhash64("c0"), F.lit(waves)) == wave)
+        media, media_path = written(encode(own, "c1", "c0"), "media")
+        pcm, pcm_path = written(blocks(media, "media", "c1", "n_bytes"), "pcm")
+        found, _ = written(_measured(pcm), "digests")
+        discard(df.sparkSession, media_path, pcm_path)
+        parts.append(found)
+    return reduce(DataFrame.unionAll, parts)

@@ -150,3 +150,36 @@ def test_tables(spark):
     assert b"".join(b.pcm for b in blocks) == f.pad(text.encode()) and [b.sample_offset for b in blocks] == [4096 * j for j in range(len(blocks))]
     assert f.digest(empty(spark)).count() == 0
     assert f.decode(f.encode(empty(spark))).count() == 0
+
+
+def test_smaller_predictor_is_taken():
+    tone = bytes(int(128 + 60 * np.sin(i * 1.1) + 50 * np.sin(i * 2.3)) for i in range(16384))
+    noise = np.random.default_rng(1).integers(0, 256, 4096).astype(np.uint8).tobytes()
+    for payload, kinds in ((tone, {32 + f.LPC - 1}), (noise + bytes(64), {1}), (bytes(4096), set(range(8, 13)))):
+        mixed, fixed = f.encode_streams([payload])[0], f.encode_streams([payload], 0)[0]
+        assert len(mixed) <= len(fixed) and b"".join(p for _, p in f.decode_streams([mixed])[0]) == payload
+        first = mixed.index(b"\xff\xf8\x74\x02")
+        assert mixed[first + 8] >> 1 in kinds and len(mixed) <= len(payload) + 150
+
+
+def test_streams_and_blocks_are_stored_and_read(spark, tmp_path):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["abc" * 5000, None, "x", "", "abc" * 5000])], "media long, text string")
+    table = f.encode(df.withColumnRenamed("media", "n"), "n")
+    table.write.parquet(str(tmp_path / "media"))
+    rows = f.blocks(spark.read.parquet(str(tmp_path / "media")), "media", "n", "n_bytes")
+    rows.write.parquet(str(tmp_path / "pcm"))
+    found = {r.n: r for r in spark.read.parquet(str(tmp_path / "pcm")).collect()}
+    assert [b.sample_offset for b in found[0].blocks] == [0, 4096, 8192, 12288] and [b.n_samples for b in found[0].blocks] == [4096, 4096, 4096, 15040 - 12288]
+    assert found[0].media_sha256 == found[4].media_sha256 and bytes(found[1].blocks[0].pcm) == bytes(64)
+    # a sample by its offset
+    block = max((b for b in found[0].blocks if b.sample_offset <= 9000), key=lambda b: b.sample_offset)
+    assert block.pcm[9000 - block.sample_offset] == b"abc"[9000 % 3]
+    assert f.digest(df, "media").columns[0] == "doc_id" and f.digest(df, "media", waves=3).count() == 5
+    none = spark.createDataFrame([(1, None)], "id long, media binary")
+    assert f.decode(none, "id").count() == 0
+
+
+def test_a_megabyte(spark):
+    text = "x" * 1_000_001
+    (r,) = f.digest(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert r.n_bytes == 1_000_001 and r.payload_bytes == 1_000_064 and r.payload_sha256 == hashlib.sha256(f.pad(text.encode())).hexdigest()
