@@ -8,18 +8,20 @@ mean over its n-grams of log(trusted share / corpus share); a text whose score
 is below a fixed threshold is rejected.  Counting shuffles at most one row a
 bucket and task; the scores need one pass over the texts and the buckets' weights.
 
-Word triples are compared by 64-bit hash within a text.
+Word triples that repeat in a text are told by their hashes first; only where two hashes agree are the words
+themselves compared.
 
 Edge cases: a null or empty text has no words, all counts 0, fails the base
-rules and is not kept; without trusted texts the ratio is of
-a flat one against the corpus's smoothed one, and the threshold still applies;
-repeated rows and null ids pass through; null labels are not trusted; an
-empty table gives an empty table; columns other than those named are not read.
+rules and is not kept; a text of any length is read whole; without trusted texts
+the ratio is of a flat one against the corpus's smoothed one, and the threshold still
+applies; repeated rows and null ids pass through; null labels are not trusted; an
+empty table gives an empty table; columns other than those named are not read, and
+:func:`keep` carries them unchanged whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Hash buckets of the n-grams, and the score below which a text is rejected.
@@ -56,7 +58,7 @@ def _hashes(text: Column) -> Column:
 
 
 def _covered(triples: Column) -> Column:
-    """How many words lie in windows that occur twice or more, given each window's hash."""
+    """How many words lie in windows that occur twice or more, given what tells windows apart."""
     ordered = F.sort_array(F.transform(triples, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
 
     def places(p: Column) -> Column:
@@ -71,7 +73,19 @@ def _covered(triples: Column) -> Column:
         steps = F.transform(at, lambda x, j: F.least(F.coalesce(F.get(at, j + 1) - x, F.lit(3)), F.lit(3)))
         return F.aggregate(steps, F.lit(0), lambda a, x: a + x)
 
-    return F.when(F.size(F.array_distinct(triples)) < F.size(triples), _let(ordered, lambda p: _let(places(p), total))).otherwise(0)
+    return _let(ordered, lambda p: _let(places(p), total))
+
+
+def _triples(w: Column) -> Column:
+    """Each three neighbouring words, of three or more."""
+    return F.transform(F.slice(w, 1, F.size(w) - 2), lambda x, i: F.concat_ws(" ", x, F.get(w, i + 1), F.get(w, i + 2)))
+
+
+def _repeated(hashes: Column, text: Column) -> Column:
+    """How many words lie in triples that occur twice or more.  Without two equal hashes there are none; else words decide."""
+    return F.when(
+        F.size(F.array_distinct(hashes)) < F.size(hashes), _let(words(text), lambda w: _let(_triples(w), _covered))
+    ).otherwise(0)
 
 
 def _windows(hashes: Column, size: int) -> Column:
@@ -110,6 +124,21 @@ def weights(corpus: DataFrame, text_col: str, trusted: Column, buckets: int = BU
     )
 
 
+def sample(trusted: DataFrame, most: int) -> DataFrame:
+    """``trusted_id``: all distinct ids of ``trusted``, or those ``most`` whose hashes are the smallest.
+
+    A histogram of the hashes' upper 16 bits tells first which can be among them, so that no more than ``most`` and
+    a 65,536th of all ids meet in one place.
+    """
+    ids = trusted.select(F.col("id").alias("trusted_id")).filter("trusted_id IS NOT NULL").distinct().withColumn("hash", F.xxhash64("trusted_id"))
+    top = F.shiftright("hash", 48)
+    upto = Window.orderBy("top").rowsBetween(Window.unboundedPreceding, 0)
+    counted = ids.groupBy(top.alias("top")).agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.sum("n").over(upto))  # 65,536 rows at most
+    last = counted.filter(F.col("upto") >= most).agg(F.min("top").alias("last")).first()["last"]
+    near = ids if last is None else ids.filter(top <= last)
+    return near.orderBy("hash", "trusted_id").limit(most).select("trusted_id")
+
+
 def judge(
     df: DataFrame,
     trusted: DataFrame,
@@ -119,12 +148,11 @@ def judge(
     buckets: int = BUCKETS,
     most_trusted: int = TRUSTED,
 ) -> DataFrame:
-    """All columns of ``df`` and a struct ``judged`` of the counts, the score and the verdict.
+    """All columns of ``df`` and a struct ``judged`` of the counts, the score and the verdict; a column of that name gives way.
 
     ``trusted`` holds the ids, column ``id``, of the trusted texts.
     """
-    ids = trusted.select(F.col("id").alias("trusted_id")).filter("trusted_id IS NOT NULL").distinct()
-    ids = ids.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(most_trusted)
+    ids = sample(trusted, most_trusted)
     marked = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).join(
         F.broadcast(ids), F.col("id") == F.col("trusted_id"), "left"
     )
@@ -140,7 +168,7 @@ def judge(
             F.length(_without(text, _SPACE)).cast("long").alias("word_chars"),
             (F.length(text) - F.length(_without(text, _SYMBOLS))).cast("long").alias("n_symbols"),
             _dup_lines(text).cast("long").alias("n_dup_lines"),
-            _let(_windows(h, 3), _covered).cast("long").alias("n_repeat_words"),
+            _let(_windows(h, 3), lambda t: _repeated(t, text)).cast("long").alias("n_repeat_words"),
             F.when(
                 F.size(h) > 0, F.aggregate(grams, F.lit(0.0), lambda a, x: a + x) / (2 * F.size(h) - 1)
             ).alias("score"),
@@ -161,6 +189,12 @@ def judge(
     )
 
 
+def keep(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, as they are, whose texts the rules keep."""
+    whole = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    return judge(whole, trusted, "id", "text").filter("judged.kept").select("row.*")
+
+
 def digest(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each text's id, counts, base verdict, verdict and score."""
     return judge(df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), trusted, "doc_id", "text").select(

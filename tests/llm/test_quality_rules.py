@@ -87,3 +87,30 @@ def test_no_python_in_the_plan(spark, sf):
     labels = spark.read.parquet(f"{sf}/labels.parquet").selectExpr("doc_id as id")
     plan = q.digest(df, labels)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+def test_sample_is_the_smallest_hashes(spark):
+    ids = spark.range(0, 20_000, 1, 16).unionAll(spark.range(10)).selectExpr("id")
+    found = {r.trusted_id for r in q.sample(ids, 700).collect()}
+    order = sorted(range(20_000), key=lambda i: signed(xxhash.xxh64_intdigest(i.to_bytes(8, "little"), 42)))
+    assert found == set(order[:700])
+    assert q.sample(ids, 50_000).count() == 20_000 and q.sample(ids.limit(0), 5).count() == 0
+    plan = q.sample(ids, 700)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan
+
+
+def test_rows_that_stay_are_unchanged(spark):
+    df, rows = awkward(spark)
+    odd = df.selectExpr("*", "'b' AS row", "'c' AS id", "'d' AS `with.dot`", "'e' AS trusted_id")
+    trusted = spark.createDataFrame([(6,)], "id long")
+    found = q.keep(odd, trusted)
+    assert found.columns == odd.columns and found.dtypes == odd.dtypes
+    kept = Counter(r.doc_id for r in q.digest(df, trusted).where("kept").collect())
+    assert Counter(r.doc_id for r in found.collect()) == kept and kept and all((r.judged, r["with.dot"], r.id) == ("clash", "d", "c") for r in found.collect())
+
+
+def test_long_texts(spark):
+    rows = [(1, prose(1, 100_000)), (2, "x" * 1_000_000), (3, "y " * 60_000)]
+    found = {r.doc_id: r for r in q.digest(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1,)], "id long")).collect()}
+    for i, t in rows:
+        assert tuple(found[i][:7]) == (i, *counts(t))
