@@ -16,11 +16,12 @@ an archive, which is read by its byte range in turn.
 A lost executor costs the repetition of its tasks: an attempt writes files of
 its own name, and only names that a finished attempt returned are ever read.
 
-Edge cases: a null payload counts as empty; null URLs share the key ``-`` and
-are told apart by id; rows that repeat an id are records of their own, all of
+Edge cases: a null payload counts as empty; a payload of any length is one record;
+null URLs share the key ``-`` and are told apart by id; ids may be of any type that
+text can be cast to, also with line breaks; rows that repeat an id are records of their own, all of
 them responses if the id is the smallest with the payload; a null id never is
 the smallest unless there is no other; an empty table makes an empty archive;
-columns other than those named are not read.
+columns other than those named are not read, so that none can clash.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -44,6 +46,8 @@ from loomgraph.llm.common import discard, open_folder, scratch_path, written
 
 #: Lines of a block of the index, and records of a shard.
 LINES, SHARD = 1000, 100_000
+#: Tasks that share the pages of one payload.
+SALTS = 16
 #: Fixed time of all records, as the tables have none.
 DATE = "2000-01-01T00:00:00Z"
 
@@ -60,8 +64,13 @@ def url_key(url: str | None) -> str:
     return re.sub(r"[\x00-\x20%\x7f]", lambda m: f"%{ord(m[0]):02X}", url)
 
 
+def record_name(record: object) -> str:
+    """An id as it stands in headers and index lines: ``-`` for null, else its text behind ``=``, without what would break a line."""
+    return "-" if record is None else "=" + quote(str(record), safe="")
+
+
 def capture_key(url: str | None, record: object) -> str:
-    return f"{url_key(url)} {record:020d}" if isinstance(record, int) and record >= 0 else f"{url_key(url)} {record}"
+    return f"{url_key(url)} {record:020d}" if isinstance(record, int) and record >= 0 else f"{url_key(url)} {record_name(record)}"
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -77,7 +86,7 @@ def record_bytes(url: str | None, record: object, payload: bytes, keeper: object
     head = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: <urn:x-record:{record}>",
+        f"WARC-Record-ID: <urn:x-record:{record_name(record)}>",
         f"WARC-Date: {DATE}",
         f"WARC-Target-URI: {target}",
         f"WARC-Payload-Digest: sha1:{base32_sha1(payload)}",
@@ -87,7 +96,7 @@ def record_bytes(url: str | None, record: object, payload: bytes, keeper: object
     if revisit:
         head += [
             "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
-            f"WARC-Refers-To: <urn:x-record:{keeper}>",
+            f"WARC-Refers-To: <urn:x-record:{record_name(keeper)}>",
         ]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -106,7 +115,7 @@ def parse_record(raw: bytes) -> dict:
     kind = named["warc-type"]
     if kind == "response" and (len(payload) != size or base32_sha1(payload) != digest):
         raise ValueError(f"{named['warc-record-id']} fails its digest")
-    name = lambda v: v[len("<urn:x-record:") : -1] if v else None
+    name = lambda v: unquote(v[len("<urn:x-record:=") : -1]) if v and v.startswith("<urn:x-record:=") else None
     return {
         "record": name(named["warc-record-id"]), "kind": kind, "digest": digest, "bytes": size, "url": named["warc-target-uri"],
         "refers_to": name(named.get("warc-refers-to")), "payload": payload if kind == "response" else None,
@@ -138,7 +147,10 @@ def write(df: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_
     copies, copies_path = written(
         rows.groupBy("sha1").agg(F.min("record").alias("keeper"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "copies"
     )
-    marked = rows.join(copies, "sha1", "left").select(
+    # a payload that very many pages have is dealt to several tasks
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("record", "url"), F.lit(SALTS)).cast("int"))
+    marked = salted.join(copies.select("sha1", "keeper", salts), ["sha1", "salt"], "left").select(
         "record", "url", "payload", F.expr("CASE WHEN NOT record <=> keeper THEN keeper END").alias("keeper")
     )
 
@@ -298,7 +310,7 @@ def digest(df: DataFrame) -> DataFrame:
     found = lookup(write(df), df)
     kind = df.schema["page_id"].dataType
     return found.select(
-        F.when(F.col("record") != "None", F.col("record")).cast(kind).alias("page_id"),
+        F.col("record").cast(kind).alias("page_id"),
         F.col("bytes").alias("payload_bytes"),
         F.col("digest").alias("payload_digest"),
         F.col("kind").alias("record_type"),

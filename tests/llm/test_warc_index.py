@@ -82,3 +82,16 @@ def test_damage_is_found():
     raw[-6] ^= 1
     with pytest.raises(ValueError):
         w.parse_record(bytes(raw))
+
+
+def test_ids_that_are_text(spark):
+    rows = [("None", "u", "a"), ("tab\there", "u", "a"), ("line\r\nWARC-Type: x", "u", "b"), (None, "u", "b"), ("", "u", "c"), ("=%41é", None, None)]
+    found = {r.page_id: r for r in w.digest(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()}
+    assert set(found) == {r[0] for r in rows}
+    assert found["tab\there"].refers_to == "None" and found[None].refers_to == "line\r\nWARC-Type: x" and found[""].record_type == "response"
+
+
+def test_one_payload_of_many_pages(spark):
+    pages = spark.range(0, 5000, 1, 8).selectExpr("id AS page_id", "concat('http://h.org/', id) AS url", "repeat('same ', 50) AS html")
+    found = w.digest(pages).groupBy("record_type", "refers_to").count().collect()
+    assert {(r.record_type, r.refers_to): r["count"] for r in found} == {("response", None): 1, ("revisit", 0): 4999}
