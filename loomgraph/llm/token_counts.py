@@ -12,9 +12,11 @@ has to fit one task.
 Edge cases: a file whose last document is not closed yields that document with
 ``closed`` false if it has tokens; empty files yield nothing; a separator that
 follows another, or begins a file, closes a document of 0 tokens.  For texts:
-null counts as empty and has 0 tokens; an end-of-document marker spelt out in a
-text is ordinary text; repeated rows and null ids pass through; an empty table
-gives an empty table; columns other than the id and the text are not read.
+null counts as empty and has 0 tokens; a text of any length is tokenised whole; an
+end-of-document marker spelt out in a text is ordinary text; repeated rows and null
+ids pass through; an empty table gives an empty table; columns other than the id and
+the text are not read, so that none can clash.  A vocabulary that is wider than the
+files' ids raises ``ValueError``.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomgraph.llm.common import each_slice, fields, open_folder, scratch_path, written
+from loomgraph.llm.common import discard, each_slice, fields, open_folder, scratch_path, written
 from loomgraph.llm.packing import TEXT_BYTES, WordTokenizer
 
 #: Bytes of a range, and ranges of a group in the prefix scan.
@@ -45,7 +47,12 @@ def _tokenizer(path: str) -> WordTokenizer:
 
 def write_files(df: DataFrame, path: str, end_id: int, width: int = 2, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
     """Tokenise texts into flat files, one a task.  Returns their folder and a table with a row for each
-    text: its id, ``file`` and ``nth`` (its number in the file)."""
+    text: its id, ``file`` and ``nth`` (its number in the file).  Ids must fit ``width`` bytes."""
+    from tokenizers import Tokenizer
+
+    highest = max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values(), default=0)
+    if max(highest, end_id) >= 1 << (8 * width):
+        raise ValueError(f"ids up to {max(highest, end_id)} don't fit {width} bytes")
     spark = df.sparkSession
     folder = scratch_path(spark, "tokens")
     picked = fields(df, id_col, text_col)
@@ -157,6 +164,7 @@ def count(df: DataFrame, path: str, end_id: int, id_col: str = "doc_id", text_co
     """Write every text to flat token files, scan them, and return each text's id, ``n_tokens``, ``file`` and ``start``."""
     order, folder = write_files(df, path, end_id, 2, id_col, text_col)
     # the listing is small: a row a file
-    files, _ = written(list_files(order, folder), "files")
+    files, files_path = written(list_files(order, folder), "files")
     found = scan(files, folder, end_id)
+    discard(df.sparkSession, folder, files_path)  # the scan has stored what it found
     return order.join(found, ["file", "nth"]).select(F.col(f"`{id_col}`").alias("doc_id"), "n_tokens", "file", "start")

@@ -45,3 +45,13 @@ def test_ranges_need_not_align(spark, tmp_path, range_bytes, group, width):
     expected = sorted((n, *d) for n, ids in files.items() for d in brute(ids))
     assert sorted((r.file, r.nth, r.start, r.n_tokens, r.closed) for r in found) == expected
     assert sorted((r.file, r.bytes) for r in c.list_files(listing, str(tmp_path)).collect()) == sorted((r.file, r.bytes) for r in listing.collect())
+
+
+def test_ids_must_fit(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="1 bytes"):
+        c.write_files(df, PATH, 1, width=1)
+    with pytest.raises(ValueError, match="2 bytes"):
+        c.write_files(df, PATH, 70_000)
