@@ -8,10 +8,11 @@ Runs of hexadecimal digits have no keyword of their own, but every run of 24
 digits starts with four of them, so all 16**4 four-digit strings serve as the
 keywords; this loses no run.
 
-Edge cases: a null or empty text has no spans; row count, repeated rows, ties
-and null ids pass through unchanged; an empty table gives an empty table;
-columns other than the id and the text are not read.  Offsets are code points,
-ends exclusive.
+Edge cases: a null or empty text has no spans; a text of any length is read whole,
+in one pass; row count, repeated rows, ties and null ids pass through unchanged; an
+empty table gives an empty table; columns other than the id and the text are not
+read, and :func:`redact` carries them unchanged whatever their names.  Offsets are
+code points, ends exclusive.
 """
 
 from __future__ import annotations

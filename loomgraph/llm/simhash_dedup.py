@@ -17,9 +17,10 @@
 
 Edge cases: a null text counts as empty; a text without words has fingerprint
 zero and is linked like any other; one with fewer than three words has a single
-shingle.  Repeated rows and null ids stay; a component's id is its smallest
-non-null id.  An empty table gives an empty table; columns other than the id
-and the text are not read.
+shingle; a text of any length is read whole.  Repeated rows and null ids stay; a
+component's id is its smallest non-null id, of any orderable type.  An empty table
+gives an empty table; columns other than the id and the text are not read, and
+:func:`keep_one` carries them unchanged whatever their names.
 """
 
 from __future__ import annotations
@@ -297,7 +298,7 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", full:
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of the rows whose id is the smallest of its component.  Of rows that repeat an id, all
     stay if it is the smallest; rows with a null id stay only if no row of their component has one."""
-    found = groups(df, id_col, text_col).filter("component_id IS NULL OR doc_id = component_id").select(
-        F.struct(F.col("doc_id")).alias("kept_id")
-    ).distinct()
-    return df.join(found, F.struct(F.col(f"`{id_col}`").alias("doc_id")).eqNullSafe(F.col("kept_id")), "left_semi")
+    found = groups(df, id_col, text_col).filter("component_id IS NULL OR doc_id = component_id").select(F.struct("doc_id").alias("kept")).distinct()
+    # the row goes as one column, so that no name of its own can clash
+    whole = df.select(F.struct(F.col(f"`{id_col}`").alias("doc_id")).alias("key"), F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    return whole.join(found, F.col("key").eqNullSafe(F.col("kept")), "left_semi").select("row.*")
