@@ -1,7 +1,9 @@
 """The corpus pipeline: five stages from raw documents to packed training sequences.
 
 Each stage reads what the one before kept, as a Parquet table.  All but the last
-return the columns of ``documents``.
+return the columns of ``documents``, and any further ones, whatever their names, as
+they are; ``n_chars`` follows the text.  Nulls, empty and long texts, ties, repeated
+rows and empty tables are handled as the operators' docstrings say.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_rules.judge(docs, trusted_ids(spark, sf_dir)).filter("judged.kept").select(*docs.columns)
+    return quality_rules.keep(docs, trusted_ids(spark, sf_dir))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
