@@ -5,8 +5,8 @@
 2. Two fingerprints that differ in at most three bits agree on one of four
    16-bit blocks.  Each node goes, under each block, to the slot of that block's
    value.  A slot with too many nodes is split by the blocks of the bits that
-   its nodes don't yet share, and so on; the slot counts are a table of at most
-   ``SLOTS`` rows, whatever the input.
+   its nodes don't yet share, and so on.  After ``DEEPEST`` splits the nodes of a slot
+   share all but 16 bits, so that it cannot have more than 65,536, however many there are.
 3. A task sorts the nodes of its slots by Gray rank, so that neighbours agree
    on most bits, and builds a tree: a tree node holds the bits on which all
    below it agree.  Pairs of tree nodes are compared from the top, and a pair
@@ -38,10 +38,8 @@ from loomgraph.llm.common import discard, each_slice, fields, written
 from loomgraph.llm.components import components
 
 BITS, DISTANCE = 64, 3
-#: Slots that nodes are counted in, and nodes in a slot beyond which it is split.
-SLOTS, FULL = 1 << 18, 20_000
-#: Splits after which a slot is searched whole.
-DEEPEST = 4
+#: Nodes in a slot beyond which it is split, and splits after which a slot is searched whole.
+FULL, DEEPEST = 20_000, 4
 #: Children of a tree node; pairs of tree nodes handled at once; nodes of a task's round.
 FAN, FRONTIER, ROUND = 16, 100_000, 100_000
 
@@ -204,7 +202,7 @@ def _signed(x: int) -> int:
 
 
 def _slotted(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("slot", F.pmod(F.xxhash64("taken", F.col("fp").bitwiseAND(F.col("taken"))), F.lit(SLOTS)))
+    return rows.withColumn("slot", F.xxhash64("taken", F.col("fp").bitwiseAND(F.col("taken"))))
 
 
 def _split(rows: DataFrame, masks: list[int]) -> DataFrame:
@@ -260,11 +258,11 @@ def near_links(nodes: DataFrame, full: int = FULL) -> DataFrame:
     done = None
     for depth in range(DEEPEST + 1):
         if depth < DEEPEST:
-            # bounded: a row a slot at most
+            # a row for each ``full`` rows at most
             over = rows.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > full).select("slot", F.lit(True).alias("over"))
             over, path = written(over, "slots")
             crowded = not over.isEmpty()
-            marked = rows.join(F.broadcast(over), "slot", "left") if crowded else rows
+            marked = rows.join(over, "slot", "left") if crowded else rows
         else:
             crowded = False
             marked = rows

@@ -87,8 +87,16 @@ def test_on_documents(spark, sf):
 
 def test_keep_one(spark):
     df, rows = awkward(spark)
+    df = df.selectExpr("*", "'x' AS kept_id", "'x' AS row", "'x' AS `with.dot`")
     kept = s.keep_one(df)
-    assert kept.columns == df.columns
+    assert kept.columns == df.columns and kept.dtypes == df.dtypes
     expected = {r[0] for r in expected_rows(rows) if r[0] is not None and r[0] == r[2]}
     found = [r.doc_id for r in kept.collect()]
     assert {i for i in found if i is not None} == expected and found.count(6) == 2 and 7 not in found
+
+
+def test_ids_that_are_text(spark):
+    rows = [("b", prose(1, 60)), ("a", prose(1, 60)), (None, prose(1, 60)), ("c", prose(2, 60)), ("d", "x" * 1_000_000)]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    assert {(r.doc_id, r.component_id) for r in s.groups(df).collect()} == {("a", "a"), ("b", "a"), (None, "a"), ("c", "c"), ("d", "d")}
+    assert sorted(r.doc_id for r in s.keep_one(df).collect()) == ["a", "c", "d"]
