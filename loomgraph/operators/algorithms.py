@@ -9,6 +9,8 @@ from loomgraph.functions.storage import discard, stored
 
 #: Rounds after which an iteration's state is stored, which keeps plans short.
 CUT = 5
+#: Edges of a vertex that lie in one place.
+HUB = 100_000
 
 
 def degrees(links: DataFrame) -> DataFrame:
@@ -26,17 +28,30 @@ def pagerank(vertices: DataFrame, links: DataFrame, rounds: int | None = 10, tol
     among that neighbour's edges.  Runs ``rounds`` rounds, or until no rank moves by more than ``tolerance``.
     """
     spark = links.sparkSession
-    # edges stay where their source's rank will be needed, so that a round moves ranks only
+    # edges stay where their source's rank will be needed, so that a round moves ranks only; a hub's lie in several places
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    outs = links.groupBy("src").agg(F.count(F.lit(1)).alias("out"))
     table, shares_path = stored(
-        links.join(links.groupBy("src").agg(F.count(F.lit(1)).alias("out")), "src").groupBy("src", "dst").agg((F.count(F.lit(1)) / F.first("out")).alias("share")),
+        links.join(outs, "src").groupBy("src", "dst").agg((F.count(F.lit(1)) / F.first("out")).alias("share"), F.expr(f"int(first(out) div {HUB})").alias("salts")),
         "shares",
     )
-    shares = table.repartition(partitions, "src").persist()
+    hubs, hubs_path = stored(table.filter("salts > 0").select("src", "salts").distinct(), "hubs")
+    flat = hubs.isEmpty()
+    salted = table.withColumn("salt", F.when(F.col("salts") > 0, F.pmod(F.xxhash64("dst"), F.col("salts") + 1)).otherwise(0).cast("int")).drop("salts")
+    shares = (table.drop("salts").repartition(partitions, "src") if flat else salted.repartition(partitions, "src", "salt")).persist()
+
+    def sent(ranks: DataFrame) -> DataFrame:
+        """Ranks as their sources' edges need them: a hub's to each of the places of its edges."""
+        own = ranks.withColumnRenamed("id", "src")
+        if flat:
+            return shares.join(own, "src")
+        copies = own.join(hubs, "src", "left").select("src", "rank", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(0)))).alias("salt"))
+        return shares.join(copies, ["src", "salt"])
+
     ids, ids_path = stored(vertices.select("id").distinct(), "ids")
     ranks, paths = ids.withColumn("rank", F.lit(1.0)), []
     for i in range(1, (rounds if tolerance is None else most_rounds) + 1):
-        moved = shares.join(ranks.withColumnRenamed("id", "src"), "src").groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("share")).alias("given"))
+        moved = sent(ranks).groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("share")).alias("given"))
         after = ids.join(moved, "id", "left").select("id", (F.lit(reset) + (1 - reset) * F.coalesce("given", F.lit(0.0))).alias("rank"))
         done = False
         if i % CUT == 0 or tolerance is not None:
@@ -52,7 +67,7 @@ def pagerank(vertices: DataFrame, links: DataFrame, rounds: int | None = 10, tol
     total = ranks.agg((F.count(F.lit(1)) / F.sum("rank")).alias("scale")).first()["scale"]
     out, _ = stored(ranks.select("id", (F.col("rank") * F.lit(total or 1.0)).alias("pagerank")), "pagerank")
     shares.unpersist()
-    discard(spark, shares_path, ids_path, *paths)
+    discard(spark, shares_path, hubs_path, ids_path, *paths)
     return out
 
 

@@ -239,6 +239,14 @@ def test_triangles(spark):
     assert {r.id: r.triangles for r in algorithms.triangle_count(ids, links).collect()} == {0: 2, 1: 1, 2: 2, 3: 1, 4: 0, 5: 0}
 
 
+def test_hubs_of_pagerank(spark, monkeypatch):
+    ids = spark.range(60).withColumnRenamed("id", "id")
+    links = spark.range(59).selectExpr("0L AS src", "id + 1 AS dst").unionAll(spark.range(1, 60).selectExpr("id AS src", "(id * 7) % 60 AS dst"))
+    plain = {r.id: r.pagerank for r in algorithms.pagerank(ids, links, 6).collect()}
+    monkeypatch.setattr(algorithms, "HUB", 10)
+    assert {r.id: r.pagerank for r in algorithms.pagerank(ids, links, 6).collect()} == pytest.approx(plain)
+
+
 def test_empty_edges(spark):
     ids = spark.createDataFrame([(1,), (2,)], "id long")
     links = spark.createDataFrame([], "src long, dst long")
