@@ -163,15 +163,16 @@ def redacted(text: str | None, mark: str = "[SECRET]") -> str | None:
 
 def redact(df: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """All columns and rows of ``df``, with the secrets in ``text_col`` replaced by ``mark``."""
-    names = df.columns
-    at = names.index(text_col)
+    at = df.columns.index(text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pa.array([redacted(t, mark) for t in batch.column(at).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(batch.columns)], names=names)
+            own = batch.column(0).flatten()
+            texts = pa.array([redacted(t, mark) for t in own[at].to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(own)], names=batch.schema.field(0).type.names)
 
-    return df.mapInArrow(run, df.schema)
+    # the row goes as one column, so that its columns may have any name
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")).mapInArrow(run, df.schema)
 
 
 def digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
