@@ -12,6 +12,7 @@ SCHEMA = Schema.of(
     ]
 )
 
+#: The sample data whose row counts and ranks are known.
 PEOPLE = {1: "Luke Skywalker", 2: "Princess Leia", 3: "Han Solo", 4: "George Lucas", 5: "Irvin Kernshner", 6: "Richard Marquand"}
 FILMS = {
     7: ("Star Wars: Episode IV - A New Hope", ["en", "hu", "be", "cs", "br", "de"], "1977-05-25T00:00:00Z", "775000000", 121, 4),
