@@ -53,23 +53,28 @@ def test_one_decoding(spark, reports):
     assert only.count("FileScan") == 1 and "predicate#" in only.split("PartitionFilters")[1]
 
 
-class Store:
-    def query(self, text: str) -> str:
-        if text == "large":
-            raise RuntimeError("RESOURCE_EXHAUSTED: message larger than max")
-        return json.dumps({"result": [{"uid": text, "name": f"node {text}"}]})
+def store():
+    """An executor, whose class travels to the workers by value."""
+
+    class Store:
+        def query(self, text: str) -> str:
+            if text == "large":
+                raise RuntimeError("RESOURCE_EXHAUSTED: message larger than max")
+            return json.dumps({"result": [{"uid": text, "name": f"node {text}"}]})
+
+    return Store
 
 
 def test_remote_queries(spark):
     queries = spark.createDataFrame([("0x5",), ("0x6",), (None,)], "query string")
-    graph = graph_of_results(run_queries(queries, Store), Schema.of([Predicate("name", "string")]))
+    graph = graph_of_results(run_queries(queries, store()), Schema.of([Predicate("name", "string")]))
     assert {(r.subject, r.objectString) for r in layouts.string_triples(graph).collect()} == {(5, "node 0x5"), (6, "node 0x6")}
     with pytest.raises(ResultTooLarge, match="chunkSize"):
-        answered(Store(), "large")
+        answered(store()(), "large")
 
 
 def test_protocols():
-    assert isinstance(Store(), Executor) and not isinstance(object(), Executor)
+    assert isinstance(store()(), Executor) and not isinstance(object(), Executor)
     assert all(isinstance(x, protocols.Middle) for x in (log_middle, binary_middle))
     assert all(isinstance(x, protocols.Partitioner) for x in (partitioner.singleton, partitioner.group, partitioner.alpha, partitioner.predicate))
     assert isinstance(layouts.typed_triples, protocols.Layout)
