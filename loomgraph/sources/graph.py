@@ -11,7 +11,6 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from loomgraph.functions.types import Predicate, to_signed
 from loomgraph.plans.catalog import ReservedFilter, Schema
