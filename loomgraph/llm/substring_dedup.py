@@ -64,6 +64,8 @@ HASHES = 5
 SMALL, DRIFT = 4, 5
 #: Windows of a chunk; of a minimum in a chunk beyond which it is dealt to groups of BLOCK; windows paired at once.
 CHUNK, LOCAL, BLOCK, GROUPED = 600_000, 8, 1000, 200_000
+#: Windows of crowded groups, and pairs of them, that are compared at once; a group is never cut.
+CROWD, PAIRED = 5000, 20_000
 #: Shared shingles of two stretches of WIDTH at a similarity of 0.8: m / (2 * WIDTH - m) >= 0.8.
 ENOUGH = -(-8 * WIDTH // 9)
 #: Requests on one text that a row holds.
@@ -171,6 +173,8 @@ _AT, _SIDE = 28, 6
 _RIGHT, _LEFT, _REP, _CROWDED, _ORDER, _NEAR = _AT, _AT + _SIDE, _AT + 2 * _SIDE, _AT + 2 * _SIDE + 1, _AT + 2 * _SIDE + 2, _AT + 2 * _SIDE + 5
 #: The order that marks starts of stretches rather than a window.
 _STARTS = 7
+#: Sides of requests that are no side of a pair: stretches for the exact way, windows of crowded groups.
+_EXACT, _REST = -1, -2
 
 
 def _bits(packed: np.ndarray, place: int, size: int) -> np.ndarray:
@@ -208,13 +212,14 @@ class _Chunk:
             return
         with np.errstate(over="ignore"):
             around = _sliding_minimum(_mix(x + np.uint64(HASHES + 1) * _ODD), WIDTH)
+        summed = _Sums(x)
         for j in range(HASHES):
             text, lo, at, hi = compact_windows(x, counts, j, WIDTH, places)
             with np.errstate(over="ignore"):
                 minimum = _mix(x[starts[text] + at] ^ (np.uint64(j + 1) * _ODD)).view(np.int64)
                 middle = starts[text] + np.minimum(np.maximum(at - WIDTH // 2, 0), counts[text] - WIDTH)
                 near = (_mix(around[middle]) >> np.uint64(_NEAR)).astype(np.int64) << _NEAR
-            own, crowded, more = ids[text], np.zeros(len(at), bool), []
+            own, starts_of, crowded, more = ids[text], starts[text], np.zeros(len(at), bool), []
             # windows come by text and place; in a periodic stretch only those of its minimum are wide
             same = (text[1:] == text[:-1]) & (minimum[1:] == minimum[:-1])
             gone = np.zeros(len(at), bool)
@@ -228,21 +233,23 @@ class _Chunk:
                         begin, end = max(int(lo[a]), int(at[a]) - WIDTH + 1), min(int(at[b]), int(hi[a]) - WIDTH + 1)
                         more.append((own[a], np.arange(begin, end + 1, WIDTH), end))
             if more or gone.any():
-                minimum, near, own, lo, at, hi, crowded = (v[~gone] for v in (minimum, near, own, lo, at, hi, crowded))
+                minimum, near, own, starts_of, lo, at, hi, crowded = (v[~gone] for v in (minimum, near, own, starts_of, lo, at, hi, crowded))
             left, right = np.minimum(at - lo, WIDTH - 1), np.minimum(hi - at, WIDTH - 1)
             packed = near | (j << _ORDER) | (crowded.astype(np.int64) << _CROWDED) | (left << _LEFT) | (right << _RIGHT) | at
-            self.held[j].append((minimum, packed, own))
+            content = summed.hashes(starts_of + at - left, starts_of + at + right + 1)
+            self.held[j].append((minimum, packed, own, content))
             for t, begins, end in more:
                 packed = (_STARTS << _ORDER) | (np.minimum(end - begins, WIDTH - 1) << _RIGHT) | begins
                 with np.errstate(over="ignore"):
-                    self.held[j].append((_mix(begins.astype(np.uint64) + np.uint64(int(t) & ((1 << 64) - 1))).view(np.int64), packed, np.full(len(begins), t)))
+                    self.held[j].append((_mix(begins.astype(np.uint64) + np.uint64(int(t) & ((1 << 64) - 1))).view(np.int64), packed, np.full(len(begins), t), np.zeros(len(begins), np.int64)))
             self.size += len(at)
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         for held in self.held:
             if not held:
                 continue
-            minimum, packed, text = (np.concatenate(c) for c in zip(*held, strict=True))
+            minimum, packed, text, content = (np.concatenate(c) for c in zip(*held, strict=True))
+            common = minimum
             order = np.argsort(minimum, kind="stable")
             m = minimum[order]
             fresh = np.flatnonzero(np.r_[True, m[1:] != m[:-1]])
@@ -259,14 +266,18 @@ class _Chunk:
                     salt = _mix(text[some[heads]].view(np.uint64) + np.uint64(1)) ^ key[heads].view(np.uint64)
                 own = _mix(np.repeat(salt, np.diff(np.r_[heads, len(some)]))).view(np.int64)
                 extra = minimum[some[heads]], packed[some[heads]] | (1 << _REP), text[some[heads]]
+                common = np.r_[minimum, extra[0]]
                 minimum[some] = own
                 minimum, packed, text = (np.concatenate([c, e]) for c, e in zip((minimum, packed, text), extra, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(minimum), pa.array(packed), pa.array(text)], names=["minimum", "packed", "text"])
+                content = np.r_[content, content[some[heads]]]
+            moved = pa.array(common, mask=common == minimum)
+            yield pa.RecordBatch.from_arrays([pa.array(minimum), pa.array(packed), pa.array(text), pa.array(content), moved], names=["minimum", "packed", "text", "content", "common"])
         self.__init__()
 
 
 def _windows(df: DataFrame) -> DataFrame:
-    """The compact windows of each text, once a task: ``minimum``, ``packed``, ``text``."""
+    """The compact windows of each text, once a task: ``minimum``, ``packed``, ``text``, ``content`` (a hash of the
+    window's shingles) and ``common`` (the minimum, where the window is in a group of its chunk)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -279,11 +290,12 @@ def _windows(df: DataFrame) -> DataFrame:
                 yield from chunk.rows()
         yield from chunk.rows()
 
-    return df.select("text").mapInArrow(run, "minimum bigint, packed bigint, text bigint")
+    return df.select("text").mapInArrow(run, "minimum bigint, packed bigint, text bigint, content bigint, common bigint")
 
 
 _PAIRS = "hash_no tinyint, a bigint, b bigint, at_a int, at_b int, lo int, hi int"
 _NAMES = ["hash_no", "a", "b", "at_a", "at_b", "lo", "hi"]
+_MORE = ["content", "common"]
 _KINDS = [pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
 
 
@@ -332,23 +344,48 @@ def _grouped_pairs(minimum: np.ndarray, packed: np.ndarray, text: np.ndarray, sm
         yield order[alone], text[alone], text[alone], own, own, own - left[alone], np.minimum(own, own + right[alone] - WIDTH + 1)
 
 
-def _pairing(small: int = SMALL):
+def _crowded_windows(minimum: np.ndarray, packed: np.ndarray, text: np.ndarray, content: np.ndarray, common: np.ndarray, small: int) -> tuple[np.ndarray, ...]:
+    """The windows of crowded groups, one of each text and content, as columns of ``_NAMES``, their content and minimum."""
+    keep = np.flatnonzero(_bits(packed, _ORDER, 3) != _STARTS)
+    minimum, packed, text, content, common = (c[keep] for c in (minimum, packed, text, content, common))
+    first = np.flatnonzero(np.r_[True, minimum[1:] != minimum[:-1]]) if len(minimum) else np.zeros(0, np.int64)
+    sizes = np.diff(np.r_[first, len(minimum)])
+    flagged = np.maximum.reduceat(_bits(packed, _CROWDED, 1), first) > 0 if len(first) else np.zeros(0, bool)
+    some = np.flatnonzero(np.repeat(flagged | (sizes > small), sizes) & (_bits(packed, _REP, 1) == 0))
+    some = some[np.lexsort((text[some], content[some], common[some]))]
+    minimum, packed, text, content, common = (c[some] for c in (minimum, packed, text, content, common))
+    new = np.r_[True, (common[1:] != common[:-1]) | (content[1:] != content[:-1]) | (text[1:] != text[:-1])] if len(some) else np.zeros(0, bool)
+    packed, text, content, common = (c[new] for c in (packed, text, content, common))
+    at = packed & ((1 << _AT) - 1)
+    return np.full(len(at), _REST), text, text, at, at, at - _bits(packed, _LEFT, _SIDE), at + _bits(packed, _RIGHT, _SIDE), content, common
+
+
+def _pairing(small: int = SMALL, rest: bool = False):
     """Pairs of windows that share a minimum; rows come ordered by minimum, packed and text.
 
     A window of a crowded group under the first order also comes alone, as a pair with itself: its stretches from lo to
-    hi go to the exact way.
+    hi go to the exact way.  With ``rest`` each window of a crowded group comes too, as order ``_REST``, with its content and
+    minimum: they are compared by :func:`_crowded_links`.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made(columns) -> Iterator[pa.RecordBatch]:
-            for out in _grouped_pairs(*columns, small):
+            for out in _grouped_pairs(*columns[:3], small):
                 if len(out[0]):
-                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(k.to_pandas_dtype())) for c, k in zip(out, _KINDS, strict=True)], names=_NAMES)
+                    own = [pa.array(c.astype(k.to_pandas_dtype())) for c, k in zip(out, _KINDS, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*own, *[pa.nulls(len(out[0]), pa.int64())] * 2] if rest else own, names=_NAMES + _MORE if rest else _NAMES)
+            if rest:
+                out = _crowded_windows(*columns, small)
+                if len(out[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(k.to_pandas_dtype())) for c, k in zip(out, [*_KINDS, pa.int64(), pa.int64()], strict=True)], names=_NAMES + _MORE)
 
         held: list[tuple[np.ndarray, ...]] = []
         n = 0
         for batch in batches:
-            held.append(tuple(c.to_numpy() for c in batch.columns))
+            own = [c.to_numpy() for c in batch.columns[:4]]
+            if rest:
+                own.append(pc.coalesce(batch.column(4), batch.column(0)).to_numpy())
+            held.append(tuple(own if rest else own[:3]))
             n += batch.num_rows
             if n < GROUPED:
                 continue
@@ -357,7 +394,7 @@ def _pairing(small: int = SMALL):
             if cut:
                 yield from made([c[:cut] for c in columns])
             else:  # the group goes on as one that is crowded, from its last window
-                yield from made([columns[0], columns[1] | (1 << _CROWDED), columns[2]])
+                yield from made([columns[0], columns[1] | (1 << _CROWDED), *columns[2:]])
                 columns[1][-1] |= (1 << _CROWDED) | (1 << _REP)
                 cut = n - 1
             held = [tuple(c[cut:] for c in columns)]
@@ -480,6 +517,195 @@ def _promising(sides: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     return most >= ENOUGH
 
 
+def _reach(runs: np.ndarray) -> np.ndarray:
+    """In each row the places that some of the runs of WIDTH that begin at the marked places have."""
+    steps = np.pad(runs.astype(np.int8), ((0, 0), (0, WIDTH - 1)))
+    steps[:, WIDTH:] -= runs[:, : runs.shape[1] - 1]
+    return np.cumsum(steps, axis=1) > 0
+
+
+def _outermost(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first and last mark of each row, or its width and -1."""
+    width, some = marks.shape[1], marks.any(1)
+    return np.where(some, marks.argmax(1), width), np.where(some, width - 1 - marks[:, ::-1].argmax(1), -1)
+
+
+class _Crowd:
+    """Windows of crowded groups, none of a group like another, aligned at the shingle that the group shares.
+
+    All pairs of a group are compared, but for those that cannot be near and those that add nothing:
+
+    * Of the WIDTH shingles of a near stretch all but WIDTH - ENOUGH are in the other window, so that at least one of the
+      WIDTH - ENOUGH + 1 rarest is.  Only windows that hold one of these, by the group's own counts, are compared, and
+      none for a stretch with more shingles that no other text of the group has.
+    * Two windows that are already of one class add nothing once each stretch is covered, for the window of the larger id
+      by smaller ids, as far as the pair reaches.  All near stretches of a window hold the shared shingle, so that a
+      window is of one class and its spans are one.
+
+    Rows come ordered by group, id and place.
+    """
+
+    def __init__(self, group: np.ndarray, ids: np.ndarray, at: np.ndarray, lo: np.ndarray, raw: list[bytes]) -> None:
+        self.ids, self.lo = ids, lo
+        n, size = len(ids), np.array([len(r) // 4 for r in raw], np.int64)
+        self.shift = WIDTH - 1 - (at - lo).astype(np.int64)  # the column of the first shingle
+        fresh = np.r_[True, group[1:] != group[:-1]]
+        self.own = np.cumsum(fresh | np.r_[True, ids[1:] != ids[:-1]])
+        row = np.repeat(np.arange(n), size)
+        column = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size) + self.shift[row]
+        keys = np.frombuffer(b"".join(raw), np.uint32).astype(np.uint64) | (np.cumsum(fresh).astype(np.uint64)[row] << np.uint64(32))
+        order = np.argsort(keys, kind="stable")  # by row within a key
+        new = np.r_[True, keys[order][1:] != keys[order][:-1]]
+        code, by = np.cumsum(new) - 1, row[order]
+        texts = np.bincount(code, new | np.r_[True, self.own[by][1:] != self.own[by][:-1]]).astype(np.int64)  # that have it
+        self.codes = np.full((n, 2 * WIDTH - 1), -1, np.int32)
+        self.codes[row[order], column[order]] = code
+        once = new | np.r_[True, by[1:] != by[:-1]]
+        self.holders, holds = by[once], np.bincount(code, once).astype(np.int64)
+        self.first = np.cumsum(holds) - holds
+        self.last = self.first + holds
+        rank = np.empty(len(texts), np.int64)
+        rank[np.argsort(texts, kind="stable")] = np.arange(len(texts))
+        shared = np.where(self.codes >= 0, texts[self.codes] > 1, False)
+        sums = np.cumsum(np.pad(np.stack([self.codes < 0, ~shared]), ((0, 0), (0, 0), (1, 0))), axis=2)
+        outside, alone = sums[:, :, WIDTH:] - sums[:, :, :-WIDTH]
+        alive = (outside == 0) & (alone <= WIDTH - ENOUGH)
+        # by any id and by smaller ones: stretches to be covered, the places covered, and those that may be at most
+        self.open, width = np.stack([alive] * 2), self.codes.shape[1]
+        self.low, self.high = np.full((2, n), width), np.full((2, n), -1)
+        self.least, self.most = _outermost(_reach(alive) & shared)
+        self.root = np.arange(n)
+        ranks = np.lib.stride_tricks.sliding_window_view(np.where(self.codes >= 0, rank[self.codes], -1), WIDTH, axis=1)
+        back, some = np.argsort(texts, kind="stable"), []
+        for rows, starts in zip(*(np.array_split(v, max(1, len(v) // 20_000)) for v in np.nonzero(alive)), strict=True):
+            least = back[np.partition(ranks[rows, starts], WIDTH - ENOUGH, axis=1)[:, : WIDTH - ENOUGH + 1]]
+            some.append(np.unique((rows[:, None] * len(texts) + least)[texts[least] > 1]))
+        self.row, self.code = np.divmod(np.unique(np.concatenate(some)), len(texts))
+
+    def find(self, i: int) -> int:
+        while self.root[i] != i:
+            self.root[i] = i = self.root[self.root[i]]
+        return i
+
+    def roots(self) -> np.ndarray:
+        while True:
+            up = self.root[self.root]
+            if (up == self.root).all():
+                return up
+            self.root = up
+
+    def needy(self) -> np.ndarray:
+        return self.open.any(axis=2) | (self.least < self.low) | (self.most > self.high)
+
+    def links(self) -> Iterator[tuple]:
+        """Rows as of :func:`_verified`."""
+        row, code, done, step = self.row, self.code, self.first[self.code].copy(), 1
+        while len(row):
+            for part in np.array_split(np.arange(len(row)), -(-len(row) * step // PAIRED)):
+                size = np.minimum(self.last[code[part]] - done[part], step)
+                ends = np.cumsum(size)
+                other = self.holders[np.arange(int(ends[-1])) + np.repeat(done[part] - ends + size, size)]
+                done[part] += size
+                mine, other = np.divmod(np.unique(np.repeat(row[part], size) * len(self.ids) + other), len(self.ids))
+                yield from self.compared(mine, other)
+            # rows that still need others, and codes of several classes
+            roots, needy = self.roots(), self.needy().any(axis=0)
+            low, high = (f.reduceat(roots[self.holders], self.first) for f in (np.minimum, np.maximum))
+            keep = (done < self.last[code]) & (needy[row] | (low != high)[code])
+            row, code, done, step = row[keep], code[keep], done[keep], min(4 * step, PAIRED)
+
+    def compared(self, mine: np.ndarray, other: np.ndarray) -> Iterator[tuple]:
+        roots, needy = self.roots(), self.needy()
+        needed = (self.own[mine] != self.own[other]) & ((roots[mine] != roots[other]) | needy[(other < mine).astype(np.int64), mine])
+        mine, other = mine[needed], other[needed]
+        if not len(mine):
+            return
+        some, *there = self.near(mine, other)
+        mine, other = mine[some], other[some]
+        back, *here = self.near(other, mine)
+        returns = np.full(len(mine), -1)
+        returns[back] = np.arange(len(back))
+        for k, (i, j, r) in enumerate(zip(mine.tolist(), other.tolist(), returns.tolist(), strict=True)):
+            joins, by = r >= 0 and self.find(i) != self.find(j), int(j < i)
+            near, least, most, _ = there
+            if joins or least[k] < self.low[by, i] or most[k] > self.high[by, i] or (near[k] & self.open[by, i]).any():
+                yield self.linked(i, j, *(v[k] for v in there))
+            if joins:
+                yield self.linked(j, i, *(v[r] for v in here))
+                a, b = sorted((self.find(i), self.find(j)))
+                self.root[b] = a
+
+    def near(self, mine: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Which of the pairs have near stretches; of these the stretches of ``mine``, the first and last place that is
+        matched in one, and the place of ``other`` that matches the first.  A passage's alignment drifts from that of
+        the shared shingle, and its shingles from that."""
+        wide = 2 * DRIFT
+
+        def same(x: np.ndarray, y: np.ndarray) -> Iterator[np.ndarray]:
+            x, y = self.codes[x], np.pad(self.codes[y], ((0, 0), (wide, wide)), constant_values=-1)
+            y[y < 0] = -2  # what lies outside is like nothing
+            return ((x == y[:, d : d + x.shape[1]]) for d in range(2 * wide + 1))
+
+        def enough(marks: np.ndarray) -> np.ndarray:
+            sums = np.cumsum(np.pad(marks, ((0, 0), (1, 0))), axis=1, dtype=np.int16)
+            return sums[:, WIDTH:] - sums[:, :-WIDTH] >= ENOUGH
+
+        marks = np.zeros((len(mine), self.codes.shape[1]), bool)
+        for m in same(mine, other):
+            marks |= m
+        some = np.flatnonzero(enough(marks).any(1))
+        each = np.stack(list(same(mine[some], other[some])))
+        near, matched = np.zeros((len(some), marks.shape[1] - WIDTH + 1), bool), np.zeros((len(some), marks.shape[1]), bool)
+        for shift in range(wide + 1):
+            aligned = each[shift : shift + wide + 1].any(0)
+            runs = enough(aligned)
+            near |= runs
+            matched |= aligned & _reach(runs)
+        keep = np.flatnonzero(near.any(1))
+        least, most = _outermost(matched[keep])
+        # the nearest of the equal places
+        drifts = np.array(sorted(range(2 * wide + 1), key=lambda d: abs(d - wide)))
+        at = drifts[each[drifts][:, keep, least].argmax(0)] - wide + least
+        return some[keep], near[keep], least, most, at
+
+    def linked(self, i: int, j: int, near: np.ndarray, least: int, most: int, at: int) -> tuple:
+        by = slice(0, 2 if j < i else 1)  # a smaller id is any id too
+        self.open[by, i] &= ~near
+        self.low[by, i] = np.minimum(self.low[by, i], least)
+        self.high[by, i] = np.maximum(self.high[by, i], most)
+        start = int(self.lo[i]) - int(self.shift[i])
+        return int(self.ids[i]), start + int(least), start + int(most) + SHINGLE, int(self.ids[j]), int(self.lo[j]) - int(self.shift[j]) + int(at)
+
+
+def _crowded_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between the windows of crowded groups; rows come ordered by common, id and at."""
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+
+    def made(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        table = table.filter(pc.greater_equal(pc.binary_length(table.column("raw")), 4 * WIDTH))  # others are of unlike texts under one id
+        if table.num_rows > 1:
+            *columns, raw = table.columns
+            rows = set(_Crowd(*(c.to_numpy() for c in columns), raw.to_pylist()).links())
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["id", "start", "end", "of", "of_start"])
+
+    held, n, enough = [], 0, CROWD
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n < enough:
+            continue
+        table = pa.Table.from_batches(held)
+        common = table.column("common").to_numpy()
+        cut = int(np.searchsorted(common, common[-1]))  # the last group may go on
+        yield from made(table.slice(0, cut))
+        held = table.slice(cut).to_batches()
+        n -= cut
+        enough = CROWD + n
+    if n:
+        yield from made(pa.Table.from_batches(held))
+
+
 def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The two sides of each candidate come after one another."""
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
@@ -503,15 +729,29 @@ def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["id", "start", "end", "of", "of_start"])
 
 
+class _Sums:
+    """Running sums of values times powers, whose differences give a hash of any run of values."""
+
+    def __init__(self, x: np.ndarray) -> None:
+        with np.errstate(over="ignore"):
+            up = np.cumprod(np.r_[np.uint64(1), np.full(len(x) - 1, _ODD)], dtype=np.uint64)
+            self.down = np.cumprod(np.r_[np.uint64(1), np.full(len(x) - 1, _ODD_INVERSE)], dtype=np.uint64)
+            self.sums = np.cumsum(np.r_[np.uint64(0), x * up], dtype=np.uint64)
+
+    def hashes(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Of runs of any length, so that the length counts too."""
+        with np.errstate(over="ignore"):
+            own = _mix((self.sums[end] - self.sums[begin]) * self.down[begin])
+            return _mix(own + (end - begin).astype(np.uint64) * _ODD).view(np.int64)
+
+
 def run_hashes(x: np.ndarray, width: int = WIDTH) -> np.ndarray:
-    """A hash of each run of ``width`` values, by differences of one running sum of values times powers."""
+    """A hash of each run of ``width`` values."""
     if len(x) < width:
         return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
-        up = np.cumprod(np.r_[np.uint64(1), np.full(len(x) - 1, _ODD)], dtype=np.uint64)
-        down = np.cumprod(np.r_[np.uint64(1), np.full(len(x) - 1, _ODD_INVERSE)], dtype=np.uint64)
-        sums = np.cumsum(np.r_[np.uint64(0), x * up], dtype=np.uint64)
-        return _mix((sums[width:] - sums[:-width]) * down[: len(x) - width + 1])
+        s = _Sums(x)
+        return _mix((s.sums[width:] - s.sums[:-width]) * s.down[: len(x) - width + 1])
 
 
 def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -526,7 +766,7 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
         flat = lists.flatten()
         side, lo, hi = (flat.field(n).to_numpy() for n in ("side", "lo", "hi"))
-        near = np.flatnonzero(side >= 0)
+        near = np.flatnonzero(side != _EXACT)
         if len(near):
             short = _mix(x).astype("<u4")
             first = base[owner[near]] + lo[near]
@@ -540,7 +780,7 @@ def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [*(own.field(n) for n in ("a", "b", "lo_a", "lo_b", "side")), raw, *(pa.nulls(len(near), k) for k in kinds[6:])], names=names
             )
-        exact = np.flatnonzero(side < 0)
+        exact = np.flatnonzero(side == _EXACT)
         if len(exact):
             size = np.maximum(np.minimum(hi[exact], counts[owner[exact]] - WIDTH) - lo[exact] + 1, 0)
             ends = np.cumsum(size)
@@ -564,21 +804,32 @@ def links(df: DataFrame, id_col: str, text_col: str, small: int = SMALL) -> tupl
     firsts, firsts_path = written(light.groupBy("text_id").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies")), "firsts")
     # no window spans fewer words, and one hash of a row reaches each of its windows' groups
     pairs, pairs_path = written(
-        _windows(docs).repartition("minimum").sortWithinPartitions("minimum", "packed", "text").mapInArrow(_pairing(small), _PAIRS), "pairs"
+        _windows(docs).repartition("minimum").sortWithinPartitions("minimum", "packed", "text").mapInArrow(_pairing(small, rest=True), f"{_PAIRS}, content bigint, common bigint"), "pairs"
     )
     first_of = lambda name: firsts.select(F.col("text_id").alias(name), F.col("first_id").alias(f"id_{name}"))
     stretches = (
-        pairs.filter("a <> b").repartition("a", "b").sortWithinPartitions("a", "b", "at_a", "at_b")
+        pairs.filter("a <> b").select(*_NAMES).repartition("a", "b").sortWithinPartitions("a", "b", "at_a", "at_b")
         .mapInArrow(_candidates, "a bigint, b bigint, lo_a int, hi_a int, lo_b int, hi_b int")
         .join(first_of("a"), "a").join(first_of("b"), "b")
         .select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "lo_a", "hi_a", "lo_b", "hi_b")
     )
     candidates, candidates_path = written(stretches, "candidates")
-    whole = pairs.filter("a = b").join(first_of("a"), "a")
+    whole = pairs.filter("a = b AND hash_no >= 0").join(first_of("a"), "a")
+    # of windows of crowded groups with the same content, that of the smallest id; a group of one content has no near repeats
+    unlike, unlike_path = written(
+        pairs.filter(f"hash_no = {_REST}").join(first_of("a"), "a").groupBy("common", "content")
+        .agg(F.min(F.struct("id_a", "at_a", "lo", "hi")).alias("w")).select("common", "w.*"), "unlike"
+    )
+    crowds = unlike.groupBy("common").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("common")
+    windows = unlike.join(crowds, "common").select(
+        F.col("id_a").alias("id"),
+        F.struct(F.col("common").alias("a"), F.col("id_a").alias("b"), F.col("at_a").alias("lo_a"), F.col("lo").alias("lo_b"), F.lit(_REST).alias("side"), "lo", "hi").alias("r"),
+    )
     requests = (
         candidates.select(F.col("a").alias("id"), F.struct("a", "b", "lo_a", "lo_b", F.lit(0).alias("side"), F.col("lo_a").alias("lo"), F.col("hi_a").alias("hi")).alias("r"))
         .unionAll(candidates.select(F.col("b").alias("id"), F.struct("a", "b", "lo_a", "lo_b", F.lit(1).alias("side"), F.col("lo_b").alias("lo"), F.col("hi_b").alias("hi")).alias("r")))
-        .unionAll(whole.select(F.col("id_a").alias("id"), F.struct("a", "b", F.col("at_a").alias("lo_a"), F.col("at_b").alias("lo_b"), F.lit(-1).alias("side"), "lo", "hi").alias("r")))
+        .unionAll(whole.select(F.col("id_a").alias("id"), F.struct("a", "b", F.col("at_a").alias("lo_a"), F.col("at_b").alias("lo_b"), F.lit(_EXACT).alias("side"), "lo", "hi").alias("r")))
+        .unionAll(windows)
     )
     # a text that very many others share passages with is read in several rows
     numbers = requests.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > REQUESTS)
@@ -591,18 +842,23 @@ def links(df: DataFrame, id_col: str, text_col: str, small: int = SMALL) -> tupl
         asked.join(docs, "id").select("id", "text", "requests").select("id", "text", "requests").mapInArrow(_cut, _CUT), "cut"
     )
     near = (
-        cut.filter("side IS NOT NULL").select("a", "b", "lo_a", "lo_b", "side", "raw")
+        cut.filter("side >= 0").select("a", "b", "lo_a", "lo_b", "side", "raw")
         .repartition("a", "b", "lo_a").sortWithinPartitions("a", "b", "lo_a", "lo_b", "side")
         .mapInArrow(_verified, "id bigint, start int, end int, of bigint, of_start int")
     )
+    crowded = (
+        cut.filter(f"side = {_REST}").select(F.col("a").alias("common"), F.col("b").alias("id"), F.col("lo_a").alias("at"), F.col("lo_b").alias("lo"), "raw")
+        .repartition("common").sortWithinPartitions("common", "id", "at")
+        .mapInArrow(_crowded_links, "id bigint, start int, end int, of bigint, of_start int")
+    )
     equal = cut.filter("whole IS NOT NULL").select("whole", "id", "at")
     heads, heads_path = written(
         equal.groupBy("whole").agg(F.min(F.struct("id", "at")).alias("head"), F.max("id").alias("last")).filter("head.id <> last").select("whole", "head"), "heads"
     )
     same = equal.join(heads, "whole").select("id", F.col("at").alias("start"), (F.col("at") + PASSAGE).alias("end"), F.col("head.id").alias("of"), F.col("head.at").alias("of_start"))
-    found, found_path = written(near.unionAll(same), "links")
+    found, found_path = written(near.unionAll(crowded).unionAll(same), "links")
     texts, texts_path = written(light.join(firsts, "text_id"), "texts")
-    discard(spark, light_path, firsts_path, pairs_path, candidates_path, numbers_path, asked_path, cut_path, heads_path)
+    discard(spark, light_path, firsts_path, pairs_path, candidates_path, unlike_path, numbers_path, asked_path, cut_path, heads_path)
     return texts, found, [texts_path, found_path]
 
 

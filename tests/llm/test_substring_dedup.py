@@ -304,3 +304,50 @@ def test_unlike_texts_under_one_id(spark):
     rows = [(1, f"{prose(i, 100)} {common}") for i in range(7)] + [(1, prose(50, 55)), (2, common), (2, "short")]
     found = s.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id for r in found} == {1, 2}
+
+
+def test_near_repeats_of_common_pieces(spark):
+    """Every two pieces of 30 words stand together in one pair of texts, one word apart, so that each shingle but those of
+    the junction is in a crowded group, in which most windows are of other pairs."""
+    pieces = [prose(910 + i, 30) for i in range(12)]
+    both = [f"{p} {q}" for p in pieces for q in pieces if p != q]
+    rows = []
+    for n, passage in enumerate(both):
+        words = passage.split()
+        words[30] = f"edit{n}"
+        rows += [(2 * n, f"{prose(20_000 + n, 60)} {passage} {prose(40_000 + n, 60)}"), (2 * n + 1, f"{prose(60_000 + n, 60)} {' '.join(words)} {prose(80_000 + n, 60)}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = {r.doc_id: r.class_id for r in s.passages(df).collect()}
+    assert all(classes[i] in (i, i - i % 2) for i in classes)
+    assert sum(classes.get(2 * n + 1) == 2 * n for n in range(len(both))) >= 0.98 * len(both)
+
+
+def test_crowded_windows_are_compared_in_all_pairs():
+    """All near stretches of a group are covered, and its classes those of all pairs; ids come in any order of likeness."""
+    r = np.random.default_rng(6)
+    pieces, rows = r.integers(0, 1 << 32, (6, 45), np.uint32), []
+    for i in range(80):
+        left, right, edit = pieces[2 if i % 2 else r.integers(0, 2)].copy(), pieces[5 if i % 2 else r.integers(3, 5)].copy(), r.integers(0, 86)
+        content = np.r_[left, np.uint32(7), right]
+        if edit < 45 or edit > 50:
+            content[edit : edit + 5] = r.integers(0, 1 << 32, len(content[edit : edit + 5]), np.uint32)
+        content[45] = 7
+        rows.append(content)
+    raw = [c.tobytes() for c in rows]
+    crowd = s._Crowd(np.zeros(80, np.int64), np.arange(80), np.full(80, 45), np.zeros(80, np.int64), raw)
+    ours, smaller = defaultdict(set), defaultdict(set)
+    for i, start, end, of, _ in crowd.links():
+        ours[i].update(range(start, end))
+        if of < i:
+            smaller[i].update(range(start, end))
+    root = list(range(80))
+    for i in range(80):
+        every, less = set(), set()
+        for j in range(80):
+            for start, end, _ in s.shared_spans(rows[i], rows[j]) if i != j else ():
+                every.update(range(start, end + s.SHINGLE - 1))
+                if j < i:
+                    less.update(range(start, end + s.SHINGLE - 1))
+                root = [min(root[i], root[j]) if x in (root[i], root[j]) else x for x in root]
+        assert ours[i] == every and smaller[i] == less, i
+    assert [crowd.find(i) for i in range(80)] == root and len(set(root)) > 1
