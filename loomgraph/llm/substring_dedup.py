@@ -11,9 +11,9 @@ two in ``WIDTH``, and they are found by a sliding minimum before the tree is bui
    paired.  In a crowded one, members are sorted by a second signature of what
    stands around, so that like stand next to like; each is paired with the first
    and the one before, and under the first order its stretches are compared
-   exactly (3).  Windows that crowd within some megabytes of text get groups of
-   their own there and send their first to the common group, so that no group
-   grows with the number of texts that share a minimum, but with the number of such chunks.
+   exactly (3).  Windows that crowd within some megabytes of text are sorted and
+   paired so in groups of their own there.  All other pairs of a crowded group's
+   windows, one of each content, are compared by :class:`_Crowd`, with no cap.
    Of a minimum that returns in even steps through a periodic stretch, its first
    and last window go, and all starts there are compared exactly.
 2. The pairs of two texts are joined as intervals: windows must overlap, when
@@ -26,11 +26,10 @@ two in ``WIDTH``, and they are found by a sliding minimum before the tree is bui
 Equal texts are one text up to the end.  A hash order keeps every stretch's
 minimum, so an exact repeat of 50 words is always found; a near repeat is found
 if the first order or two others agree, which a stretch does with probability 0.995,
-and, in a crowded group, if a chain of neighbours leads from one to the other: the
-tests measure 0.95 or more of near repeats found in groups of 2 to 1000.
+or in a crowded group any order, whatever the group's size: the tests measure 0.95 or more of near repeats found in groups of 2 to 1000.
 
 Words are compared by hash: shingles of two sides by 32 bits within their candidate,
-where 37 of 46 must agree in alignment, whole stretches and whole texts by 64 bits.
+where 41 of 46 must agree in alignment, whole stretches and whole texts by 64 bits.
 
 Edge cases: null and empty texts, and texts of fewer than 50 words, have no
 passages; a text of any length is read whole; rows with a null id take no part;

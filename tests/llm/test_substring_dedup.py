@@ -322,6 +322,20 @@ def test_near_repeats_of_common_pieces(spark):
     assert sum(classes.get(2 * n + 1) == 2 * n for n in range(len(both))) >= 0.98 * len(both)
 
 
+def test_strip_of_common_pieces(spark):
+    """As above; only the text of the larger id loses the passage."""
+    pieces = [prose(910 + i, 30) for i in range(8)]
+    both = [f"{p} {q}" for p in pieces for q in pieces if p != q]
+    rows = []
+    for n, passage in enumerate(both):
+        words = passage.split()
+        words[30] = f"edit{n}"
+        rows += [(2 * n, f"{prose(20_000 + n, 60)} {passage} {prose(40_000 + n, 60)}"), (2 * n + 1, f"{prose(60_000 + n, 60)} {' '.join(words)} {prose(80_000 + n, 60)}")]
+    left = {r.doc_id: r.text for r in s.strip(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(left[i] == t for i, t in rows if i % 2 == 0)
+    assert sum(f"edit{n}" not in left[2 * n + 1] for n in range(len(both))) >= 0.98 * len(both)
+
+
 def test_crowded_windows_are_compared_in_all_pairs():
     """All near stretches of a group are covered, and its classes those of all pairs; ids come in any order of likeness."""
     r = np.random.default_rng(6)
