@@ -600,8 +600,9 @@ class _Crowd:
         """Rows as of :func:`_verified`."""
         row, code, done, step = self.row, self.code, self.first[self.code].copy(), 1
         while len(row):
-            for part in np.array_split(np.arange(len(row)), -(-len(row) * step // PAIRED)):
-                size = np.minimum(self.last[code[part]] - done[part], step)
+            sizes = np.minimum(self.last[code] - done, step)
+            for part in np.split(np.arange(len(row)), np.flatnonzero(np.diff(np.cumsum(sizes) // PAIRED)) + 1):
+                size = sizes[part]
                 ends = np.cumsum(size)
                 other = self.holders[np.arange(int(ends[-1])) + np.repeat(done[part] - ends + size, size)]
                 done[part] += size
