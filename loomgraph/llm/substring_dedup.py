@@ -65,10 +65,16 @@ SMALL, DRIFT = 4, 5
 CHUNK, LOCAL, BLOCK, GROUPED = 600_000, 8, 1000, 200_000
 #: Windows of crowded groups, and pairs of them, that are compared at once; a group is never cut.
 CROWD, PAIRED = 5000, 20_000
+#: Pairs of windows that are aligned side by side.
+ABREAST = 2048
+#: Steps of all values at once towards the nearest smaller ones.
+ROUNDS = 24
 #: Shared shingles of two stretches of WIDTH at a similarity of 0.8: m / (2 * WIDTH - m) >= 0.8.
 ENOUGH = -(-8 * WIDTH // 9)
 #: Requests on one text that a row holds.
 REQUESTS = 2000
+#: Bits of a place in stretches that are verified many at once (longer ones are one by one), and shingles of those.
+_SPOT, SPANNED = 12, 400_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -81,18 +87,55 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the shingles of all texts, one after another, and how many each has."""
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
+#: The first bytes of a number, by how many.
+_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def _spread(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts and where each begins, and the last ends; a null is empty."""
+    flat = pc.fill_null(texts, "").cast(pa.large_binary())
+    offsets = np.frombuffer(flat.buffers()[1], np.int64)[flat.offset : flat.offset + len(flat) + 1]
+    data = np.frombuffer(flat.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return data, offsets - offsets[0]
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where words begin and end, and how many each text has."""
+    space = _SPACE[data]
+    cut = np.zeros(len(data) + 1, bool)  # where a text begins or ends
+    cut[offsets] = True
+    before, after = cut.copy(), cut
+    before[1:] |= space
+    after[:-1] |= space
+    first, last = np.flatnonzero(before[:-1] & ~space), np.flatnonzero(after[1:] & ~space)
+    return first, last + 1, np.diff(np.searchsorted(first, offsets))
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word of all texts, ASCII letters in lower case, one after another, and how many each text has.
+    Words of up to 16 bytes are hashed as two numbers and their length."""
     import xxhash
 
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
-    flat = lists.flatten()
-    encoded = pc.dictionary_encode(flat)
-    words = np.fromiter((xxhash.xxh64_intdigest(w) for w in encoded.dictionary.to_pylist()), np.uint64, len(encoded.dictionary))
-    real = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
-    owner = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))[real]
-    h = words[encoded.indices.to_numpy()[real]]
-    n_words = np.bincount(owner, minlength=len(lists))
+    data, offsets = _spread(texts)
+    first, end, n_words = _words(data, offsets)
+    data = np.r_[_LOWER[data], np.zeros(16, np.uint8)]
+    size = end - first
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    with np.errstate(over="ignore"):
+        head, tail = eight[first] & _BYTES[np.minimum(size, 8)], eight[first + 8] & _BYTES[np.clip(size - 8, 0, 8)]
+        h = _mix(_mix(tail + size.astype(np.uint64) * _ODD) + head)
+    long = np.flatnonzero(size > 16)
+    if len(long):
+        whole = memoryview(data)
+        h[long] = np.fromiter((xxhash.xxh64_intdigest(whole[a:b]) for a, b in zip(first[long].tolist(), end[long].tolist(), strict=True)), np.uint64, len(long))
+    return h, n_words
+
+
+def shingle_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of all texts, one after another, and how many each has."""
+    h, n_words = word_hashes(texts)
     with np.errstate(over="ignore"):
         x = np.zeros(max(0, len(h) - SHINGLE + 1), np.uint64)
         for i in range(SHINGLE):
@@ -123,6 +166,35 @@ def _places(counts: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndar
     return owner, place, np.flatnonzero(np.repeat(counts, counts) - place >= width)
 
 
+def _smaller(values: np.ndarray, last: np.ndarray, step: int) -> np.ndarray:
+    """The nearest smaller value's place that way, or -1 where none is up to the ``last``.  What lies between a value and
+    where it points is larger, so that it may go on to where that points.  Where that takes more than ``ROUNDS``, as in a
+    periodic stretch, values are taken one by one."""
+    n = len(values)
+    to = np.where(last, -1, np.arange(n) + step)
+    todo = np.flatnonzero(to >= 0)
+    for _ in range(ROUNDS):
+        at = to[todo]
+        larger = values[at] > values[todo]
+        todo = todo[larger]
+        to[todo] = to[at[larger]]
+        todo = todo[to[todo] >= 0]
+        if not len(todo):
+            return to
+    part = np.cumsum(last[::-step])[::-step]  # from each last on
+    slow = np.flatnonzero(np.isin(part, part[todo]))[::-step]
+    stack: list[int] = []
+    kept = values.tolist()
+    for i, fresh in zip(slow.tolist(), last[slow].tolist(), strict=True):
+        if fresh:
+            stack = []
+        while stack and kept[stack[-1]] > kept[i]:
+            stack.pop()
+        to[i] = stack[-1] if stack else -1
+        stack.append(i)
+    return to
+
+
 def compact_windows(
     x: np.ndarray, counts: np.ndarray, order: int, width: int = WIDTH, places: tuple[np.ndarray, ...] | None = None
 ) -> tuple[np.ndarray, ...]:
@@ -141,28 +213,27 @@ def compact_windows(
     rank, text = lowest[fresh], text[fresh]
     at = (rank & _PLACE).astype(np.int64)
     # ancestors of a wide node are wide: its nearest smaller neighbours are among the minima
-    n = len(rank)
-    left, right = np.full(n, -1), np.full(n, -1)
-    stack: list[int] = []
-    values, texts = rank.tolist(), text.tolist()
-    for i in range(n):
-        if stack and texts[stack[-1]] != texts[i]:
-            stack = []
-        while stack and values[stack[-1]] > values[i]:
-            right[stack.pop()] = i
-        if stack:
-            left[i] = stack[-1]
-        stack.append(i)
+    other = np.r_[True, text[1:] != text[:-1]]
+    left, right = _smaller(rank, other, -1), _smaller(rank, np.r_[other[1:], True], 1)
     lo = np.where(left >= 0, at[left] + 1, 0)
     hi = np.where(right >= 0, at[right] - 1, counts[text] - 1)
     return text, lo, at, hi
 
 
-def _text_ids(texts: list[str | None]) -> np.ndarray:
+def _text_ids(texts: pa.Array) -> np.ndarray:
     """As Spark's xxhash64 of the text."""
     import xxhash
 
-    return np.fromiter((xxhash.xxh64_intdigest(t or "", 42) for t in texts), np.uint64, len(texts)).view(np.int64)
+    data, offsets = _spread(texts)
+    whole, at = memoryview(data), offsets.tolist()
+    return np.fromiter((xxhash.xxh64_intdigest(whole[a:b], 42) for a, b in zip(at, at[1:], strict=False)), np.uint64, len(texts)).view(np.int64)
+
+
+def _light(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each text its id, a hash, and the number of its words."""
+    for part in each_slice(batches, "text"):
+        n_words = _words(*_spread(part.column(1)))[2]
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_text_ids(part.column(1))), pa.array(n_words.astype(np.int32))], names=["id", "text_id", "n_words"])
 
 
 # A window is a minimum, a text and a packed number: from the top, bits of a second signature of what stands around, the
@@ -282,7 +353,7 @@ def _windows(df: DataFrame) -> DataFrame:
         seen: set[int] = set()
         chunk = _Chunk()
         for part in each_slice(batches, "text"):
-            ids = _text_ids(part.column(0).to_pylist())
+            ids = _text_ids(part.column(0))
             new = [i for i, t in enumerate(ids.tolist()) if not (t in seen or seen.add(t))]
             chunk.add(part.column(0).take(pa.array(new, pa.int32())), ids[new])
             if chunk.size >= CHUNK:
@@ -501,26 +572,119 @@ def shared_spans(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int]]:
     return out
 
 
-def _promising(sides: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Of each pair of sequences, whether either has ENOUGH values that the other has too."""
-    sizes = np.array([(len(x), len(y)) for x, y in sides], np.int64)
-    owner = [np.repeat(np.arange(len(sides), dtype=np.uint64) << np.uint64(32), sizes[:, k]) for k in (0, 1)]
-    keys = [np.concatenate([side[k] for side in sides]).astype(np.uint64) | owner[k] for k in (0, 1)]
-    most = np.zeros(len(sides), np.int64)
-    for k in (0, 1):
-        other = np.sort(keys[1 - k])
-        at = np.minimum(np.searchsorted(other, keys[k]), max(0, len(other) - 1))
-        if len(other):
-            hits = other[at] == keys[k]
-            most = np.maximum(most, np.bincount((keys[k][hits] >> np.uint64(32)).astype(np.int64), minlength=len(sides)))
-    return most >= ENOUGH
+def _all_spans(raw: pa.Array, mine: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, ...]:
+    """:func:`shared_spans` of many pairs of rows of ``raw`` at once, either way: pair, way (1: of ``other`` in
+    ``mine``), start, end and the place that matches the start.  No side may have 1 << _SPOT shingles or more."""
+    offsets = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset : raw.offset + len(raw) + 1].astype(np.int64) // 4
+    short = np.frombuffer(raw.buffers()[2] or b"", np.uint32)
+    n = len(mine)
+    # all first sides, then all second ones; keys by pair, value, side and place
+    rows = np.r_[mine, other]
+    size = offsets[rows + 1] - offsets[rows]
+    ends = np.cumsum(size)
+    base = ends - size
+    owner = np.repeat(np.arange(2 * n), size)
+    place = np.arange(len(owner)) - base[owner]
+    values = short[place + offsets[rows][owner]]
+    keys = ((owner % n).astype(np.uint64) << np.uint64(33 + _SPOT)) | (values.astype(np.uint64) << np.uint64(1 + _SPOT))
+    keys = np.sort(keys | ((owner >= n).astype(np.uint64) << np.uint64(_SPOT)) | place.astype(np.uint64))
+    value, side = keys >> np.uint64(1 + _SPOT), ((keys >> np.uint64(_SPOT)) & np.uint64(1)).astype(np.int64)
+    spot = (keys & np.uint64((1 << _SPOT) - 1)).astype(np.int64)
+    at = base[(keys >> np.uint64(33 + _SPOT)).astype(np.int64) + side * n] + spot  # among all sides' shingles
+    first = np.flatnonzero(np.r_[True, value[1:] != value[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    total = np.diff(np.r_[first, len(keys)])
+    seconds = np.add.reduceat(side, first) if len(first) else first
+    middle = first + total - seconds  # where the second sides of a value begin
+    run = np.repeat(np.arange(len(first)), total)
+    begin, end = np.where(side == 0, middle[run], first[run]), np.where(side == 0, (first + total)[run], middle[run])
+    times = end - begin
+    where = np.full(len(owner), -1)
+    once = np.flatnonzero(times == 1)
+    where[at[once]] = spot[begin[once]]
+    many = np.flatnonzero(times > 1)
+    if len(many):
+        last = np.maximum.accumulate(np.where(where >= 0, np.arange(len(where)), -1))[at[many]]
+        shift = np.where(last >= base[owner[at[many]]], place[last] - where[last], 0)
+        want = np.clip(spot[many] - shift, 0, (2 << _SPOT) - 1)
+        # the occurrences on either side by value, then place, as one rising key
+        rising = (run * 2 + side << _SPOT + 1) | spot
+        found = np.searchsorted(rising, (run[many] * 2 + 1 - side[many] << _SPOT + 1) | want)
+        after, prior = np.minimum(found, end[many] - 1), np.maximum(found - 1, begin[many])
+        nearer = np.abs(spot[prior] - want) <= np.abs(spot[after] - want)
+        where[at[many]] = spot[np.where(nearer, prior, after)]
+    hits = np.flatnonzero(where >= 0)
+    lean = np.full(len(owner), -(1 << 62))  # of each shingle its side and shift
+    lean[hits] = (owner[hits] * 4 + 2 << _SPOT) + place[hits] - where[hits]
+    ordered = np.sort(lean[hits])
+    fresh = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.zeros(0, np.int64)
+    shifts, upto = ordered[fresh], np.r_[fresh, len(ordered)]
+    low, high = np.searchsorted(shifts, shifts - DRIFT), np.searchsorted(shifts, shifts + DRIFT, "right")
+    # shifts with the same shifts about them align the same shingles
+    enough = np.flatnonzero((upto[high] - upto[low] >= ENOUGH) & np.r_[True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])][: len(shifts)])
+    enough = enough[size[shifts[enough] >> _SPOT + 2] >= WIDTH]
+    low, high, of = shifts[low[enough]], shifts[high[enough] - 1], shifts[enough] >> _SPOT + 2
+    nth = np.arange(len(of)) - np.searchsorted(of, of)
+    good, matched = np.zeros(len(owner), bool), np.zeros(len(owner), bool)
+    for k in range(int(nth.max()) + 1 if len(nth) else 0):
+        own = np.flatnonzero(nth == k)
+        length = size[of[own]]
+        stop = np.cumsum(length)
+        spots = np.arange(int(stop[-1])) + np.repeat(base[of[own]] - stop + length, length)
+        aligned = (lean[spots] >= np.repeat(low[own], length)) & (lean[spots] <= np.repeat(high[own], length))
+        sums = np.cumsum(np.r_[0, aligned])
+        runs = np.zeros(len(spots), bool)
+        runs[: len(spots) - WIDTH + 1] = sums[WIDTH:] - sums[:-WIDTH] >= ENOUGH
+        runs &= place[spots] <= np.repeat(length, length) - WIDTH
+        steps = np.r_[runs, np.zeros(WIDTH, np.int8)].astype(np.int8)
+        steps[WIDTH:] -= runs
+        good[spots] |= runs
+        matched[spots] |= aligned & (np.cumsum(steps[: len(spots)], dtype=np.int32) > 0)
+    starts = np.flatnonzero(good)
+    if not len(starts):
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
+    fresh = np.flatnonzero(np.r_[True, (np.diff(starts) > WIDTH) | (owner[starts[1:]] != owner[starts[:-1]])])
+    marks = np.flatnonzero(matched)
+    least = marks[np.searchsorted(marks, starts[fresh])]
+    most = marks[np.searchsorted(marks, starts[np.r_[fresh[1:] - 1, len(starts) - 1]] + WIDTH) - 1]
+    return owner[least] % n, owner[least] // n, place[least], place[most] + 1, where[least]
 
 
 def _reach(runs: np.ndarray) -> np.ndarray:
-    """In each row the places that some of the runs of WIDTH that begin at the marked places have."""
-    steps = np.pad(runs.astype(np.int8), ((0, 0), (0, WIDTH - 1)))
-    steps[:, WIDTH:] -= runs[:, : runs.shape[1] - 1]
-    return np.cumsum(steps, axis=1) > 0
+    """In each column the places that some of the runs of WIDTH that begin at the marked places have."""
+    n = len(runs)
+    out = np.zeros((n + WIDTH - 1, runs.shape[1]), bool)
+    out[:n] = runs
+    for i in range(1, n):
+        out[i] |= out[i - 1]
+    out[n:] = out[n - 1]
+    # a place behind WIDTH is reached from the later starts only
+    later = np.zeros(runs.shape[1], bool)
+    for i in range(n - 1, 0, -1):
+        later |= runs[i]
+        if i + WIDTH - 1 >= n:
+            out[i + WIDTH - 1] = later
+    return out
+
+
+def _enough(marks: np.ndarray) -> np.ndarray:
+    """In each column the places at which a run of WIDTH begins that has ENOUGH marks."""
+    marks = marks.view(np.uint8)
+    out = np.empty((len(marks) - WIDTH + 1, marks.shape[1]), bool)
+    total = marks[:WIDTH].sum(axis=0, dtype=np.uint8)
+    for i in range(len(out)):
+        if i:
+            total += marks[i + WIDTH - 1]
+            total -= marks[i - 1]
+        np.greater_equal(total, ENOUGH, out=out[i])
+    return out
+
+
+def _packed(marks: np.ndarray) -> np.ndarray:
+    """The marks of each column, 64 at most, as bits of one number."""
+    out = np.zeros(marks.shape[1], np.uint64)
+    for i, row in enumerate(marks):
+        out |= row.astype(np.uint64) << np.uint64(i)
+    return out
 
 
 def _outermost(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -545,9 +709,9 @@ class _Crowd:
     """
 
     def __init__(self, group: np.ndarray, ids: np.ndarray, at: np.ndarray, lo: np.ndarray, raw: list[bytes]) -> None:
-        self.ids, self.lo = ids, lo
         n, size = len(ids), np.array([len(r) // 4 for r in raw], np.int64)
         self.shift = WIDTH - 1 - (at - lo).astype(np.int64)  # the column of the first shingle
+        self.id, self.start = ids.tolist(), (lo - self.shift).tolist()
         fresh = np.r_[True, group[1:] != group[:-1]]
         self.own = np.cumsum(fresh | np.r_[True, ids[1:] != ids[:-1]])
         row = np.repeat(np.arange(n), size)
@@ -563,38 +727,39 @@ class _Crowd:
         self.holders, holds = by[once], np.bincount(code, once).astype(np.int64)
         self.first = np.cumsum(holds) - holds
         self.last = self.first + holds
-        rank = np.empty(len(texts), np.int64)
-        rank[np.argsort(texts, kind="stable")] = np.arange(len(texts))
+        back, some = np.argsort(texts, kind="stable"), []
+        rank = np.empty(len(texts), np.int32)
+        rank[back] = np.arange(len(texts))
         shared = np.where(self.codes >= 0, texts[self.codes] > 1, False)
-        sums = np.cumsum(np.pad(np.stack([self.codes < 0, ~shared]), ((0, 0), (0, 0), (1, 0))), axis=2)
-        outside, alone = sums[:, :, WIDTH:] - sums[:, :, :-WIDTH]
-        alive = (outside == 0) & (alone <= WIDTH - ENOUGH)
+        begins = np.arange(WIDTH)[:, None]
+        alive = _enough(np.ascontiguousarray(shared.T)) & (begins >= self.shift) & (begins + WIDTH <= self.shift + size)
         # by any id and by smaller ones: stretches to be covered, the places covered, and those that may be at most
-        self.open, width = np.stack([alive] * 2), self.codes.shape[1]
-        self.low, self.high = np.full((2, n), width), np.full((2, n), -1)
-        self.least, self.most = _outermost(_reach(alive) & shared)
-        self.root = np.arange(n)
+        self.open, width = [_packed(alive).tolist() for _ in range(2)], self.codes.shape[1]
+        self.low, self.high = [[width] * n for _ in range(2)], [[-1] * n for _ in range(2)]
+        least, most = _outermost(_reach(alive).T & shared)
+        self.least, self.most = least.tolist(), most.tolist()
+        alive = np.ascontiguousarray(alive.T)
+        self.needy = np.stack([alive.any(axis=1)] * 2)  # what is not covered as far as it may be
+        self.root = list(range(n))
         ranks = np.lib.stride_tricks.sliding_window_view(np.where(self.codes >= 0, rank[self.codes], -1), WIDTH, axis=1)
-        back, some = np.argsort(texts, kind="stable"), []
         for rows, starts in zip(*(np.array_split(v, max(1, len(v) // 20_000)) for v in np.nonzero(alive)), strict=True):
             least = back[np.partition(ranks[rows, starts], WIDTH - ENOUGH, axis=1)[:, : WIDTH - ENOUGH + 1]]
             some.append(np.unique((rows[:, None] * len(texts) + least)[texts[least] > 1]))
         self.row, self.code = np.divmod(np.unique(np.concatenate(some)), len(texts))
 
     def find(self, i: int) -> int:
-        while self.root[i] != i:
-            self.root[i] = i = self.root[self.root[i]]
+        root = self.root
+        while root[i] != i:
+            root[i] = i = root[root[i]]
         return i
 
     def roots(self) -> np.ndarray:
+        root = np.array(self.root)
         while True:
-            up = self.root[self.root]
-            if (up == self.root).all():
+            up = root[root]
+            if (up == root).all():
                 return up
-            self.root = up
-
-    def needy(self) -> np.ndarray:
-        return self.open.any(axis=2) | (self.least < self.low) | (self.most > self.high)
+            root = up
 
     def links(self) -> Iterator[tuple]:
         """Rows as of :func:`_verified`."""
@@ -606,17 +771,17 @@ class _Crowd:
                 ends = np.cumsum(size)
                 other = self.holders[np.arange(int(ends[-1])) + np.repeat(done[part] - ends + size, size)]
                 done[part] += size
-                mine, other = np.divmod(np.unique(np.repeat(row[part], size) * len(self.ids) + other), len(self.ids))
+                mine, other = np.divmod(np.unique(np.repeat(row[part], size) * len(self.own) + other), len(self.own))
                 yield from self.compared(mine, other)
             # rows that still need others, and codes of several classes
-            roots, needy = self.roots(), self.needy().any(axis=0)
+            roots, needy = self.roots(), self.needy.any(axis=0)
             low, high = (f.reduceat(roots[self.holders], self.first) for f in (np.minimum, np.maximum))
             keep = (done < self.last[code]) & (needy[row] | (low != high)[code])
             row, code, done, step = row[keep], code[keep], done[keep], min(4 * step, PAIRED)
 
     def compared(self, mine: np.ndarray, other: np.ndarray) -> Iterator[tuple]:
-        roots, needy = self.roots(), self.needy()
-        needed = (self.own[mine] != self.own[other]) & ((roots[mine] != roots[other]) | needy[(other < mine).astype(np.int64), mine])
+        roots = self.roots()
+        needed = (self.own[mine] != self.own[other]) & ((roots[mine] != roots[other]) | self.needy[(other < mine).astype(np.int64), mine])
         mine, other = mine[needed], other[needed]
         if not len(mine):
             return
@@ -625,11 +790,11 @@ class _Crowd:
         back, *here = self.near(other, mine)
         returns = np.full(len(mine), -1)
         returns[back] = np.arange(len(back))
-        for k, (i, j, r) in enumerate(zip(mine.tolist(), other.tolist(), returns.tolist(), strict=True)):
+        here, there = ([_packed(near.T).tolist(), *(v.tolist() for v in more)] for near, *more in (here, there))
+        for k, (i, j, r, near, least, most) in enumerate(zip(mine.tolist(), other.tolist(), returns.tolist(), *there[:3], strict=True)):
             joins, by = r >= 0 and self.find(i) != self.find(j), int(j < i)
-            near, least, most, _ = there
-            if joins or least[k] < self.low[by, i] or most[k] > self.high[by, i] or (near[k] & self.open[by, i]).any():
-                yield self.linked(i, j, *(v[k] for v in there))
+            if joins or least < self.low[by][i] or most > self.high[by][i] or near & self.open[by][i]:
+                yield self.linked(i, j, near, least, most, there[3][k])
             if joins:
                 yield self.linked(j, i, *(v[r] for v in here))
                 a, b = sorted((self.find(i), self.find(j)))
@@ -639,42 +804,53 @@ class _Crowd:
         """Which of the pairs have near stretches; of these the stretches of ``mine``, the first and last place that is
         matched in one, and the place of ``other`` that matches the first.  A passage's alignment drifts from that of
         the shared shingle, and its shingles from that."""
-        wide = 2 * DRIFT
-
-        def same(x: np.ndarray, y: np.ndarray) -> Iterator[np.ndarray]:
-            x, y = self.codes[x], np.pad(self.codes[y], ((0, 0), (wide, wide)), constant_values=-1)
-            y[y < 0] = -2  # what lies outside is like nothing
-            return ((x == y[:, d : d + x.shape[1]]) for d in range(2 * wide + 1))
-
-        def enough(marks: np.ndarray) -> np.ndarray:
-            sums = np.cumsum(np.pad(marks, ((0, 0), (1, 0))), axis=1, dtype=np.int16)
-            return sums[:, WIDTH:] - sums[:, :-WIDTH] >= ENOUGH
-
-        marks = np.zeros((len(mine), self.codes.shape[1]), bool)
-        for m in same(mine, other):
-            marks |= m
-        some = np.flatnonzero(enough(marks).any(1))
-        each = np.stack(list(same(mine[some], other[some])))
-        near, matched = np.zeros((len(some), marks.shape[1] - WIDTH + 1), bool), np.zeros((len(some), marks.shape[1]), bool)
-        for shift in range(wide + 1):
-            aligned = each[shift : shift + wide + 1].any(0)
-            runs = enough(aligned)
-            near |= runs
-            matched |= aligned & _reach(runs)
-        keep = np.flatnonzero(near.any(1))
-        least, most = _outermost(matched[keep])
+        parts = [self.aligned(mine[k : k + ABREAST], other[k : k + ABREAST], k) for k in range(0, max(1, len(mine)), ABREAST)]
+        return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
+
+    def aligned(self, mine: np.ndarray, other: np.ndarray, first: int) -> tuple[np.ndarray, ...]:
+        """:meth:`near` of some pairs, numbered from ``first``.  Arrays have a column a pair, so that each step is on whole rows."""
+        wide, width = 2 * DRIFT, self.codes.shape[1]
+        x, y = np.ascontiguousarray(self.codes[mine].T), np.full((width + 2 * wide, len(mine)), -2, np.int32)  # what lies outside is like nothing
+        y[wide:-wide] = self.codes[other].T
+        np.copyto(y, -2, where=y < 0)
+        marks, hit = x == y[wide : wide + width], np.empty(x.shape, bool)
+        for d in range(2 * wide + 1):
+            marks |= np.equal(x, y[d : d + width], out=hit)
+        near = _enough(marks)
+        some = np.flatnonzero(near.any(axis=0))
+        x, y, marks, near = (np.ascontiguousarray(v[:, some]) for v in (x, y, marks, near))
+        matched = marks & _reach(near)
+        # where a shingle has its like at another drift only, the like of some drifts at a time is to be enough; all have the middle
+        drifted = np.flatnonzero((marks != (x == y[wide : wide + width])).any(axis=0))
+        if len(drifted):
+            a, b = np.ascontiguousarray(x[:, drifted]), np.ascontiguousarray(y[:, drifted])
+            each = [a == b[d : d + width] for d in range(2 * wide + 1)]
+            for d in range(1, wide + 1):
+                each[wide - d] |= each[wide - d + 1]
+                each[wide + d] |= each[wide + d - 1]
+            own = np.concatenate([each[d] | each[d + wide] for d in range(wide + 1)], axis=1)
+            runs = _enough(own)
+            seen = own & _reach(runs)
+            near[:, drifted], matched[:, drifted] = (v.reshape(len(v), wide + 1, -1).any(axis=1) for v in (runs, seen))
+        keep = np.flatnonzero(near.any(axis=0))
+        least, most = _outermost(np.ascontiguousarray(matched[:, keep].T))
         # the nearest of the equal places
-        drifts = np.array(sorted(range(2 * wide + 1), key=lambda d: abs(d - wide)))
-        at = drifts[each[drifts][:, keep, least].argmax(0)] - wide + least
-        return some[keep], near[keep], least, most, at
-
-    def linked(self, i: int, j: int, near: np.ndarray, least: int, most: int, at: int) -> tuple:
-        by = slice(0, 2 if j < i else 1)  # a smaller id is any id too
-        self.open[by, i] &= ~near
-        self.low[by, i] = np.minimum(self.low[by, i], least)
-        self.high[by, i] = np.maximum(self.high[by, i], most)
-        start = int(self.lo[i]) - int(self.shift[i])
-        return int(self.ids[i]), start + int(least), start + int(most) + SHINGLE, int(self.ids[j]), int(self.lo[j]) - int(self.shift[j]) + int(at)
+        value, at = x[least, keep], np.full(len(keep), width)
+        for d in sorted(range(2 * wide + 1), key=lambda d: abs(d - wide))[::-1]:
+            at = np.where(y[least + d, keep] == value, d - wide + least, at)
+        return some[keep] + first, np.ascontiguousarray(near[:, keep].T), least, most, at
+
+    def linked(self, i: int, j: int, near: int, least: int, most: int, at: int) -> tuple:
+        for by in (0, 1) if j < i else (0,):  # a smaller id is any id too
+            self.open[by][i] &= ~near
+            if least < self.low[by][i]:
+                self.low[by][i] = least
+            if most > self.high[by][i]:
+                self.high[by][i] = most
+            if not self.open[by][i] and self.low[by][i] <= self.least[i] and self.high[by][i] >= self.most[i]:
+                self.needy[by, i] = False
+        start = self.start[i]
+        return self.id[i], start + least, start + most + SHINGLE, self.id[j], self.start[j] + at
 
 
 def _crowded_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -708,25 +884,54 @@ def _crowded_links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _verified(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The two sides of each candidate come after one another."""
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
-    held = None
+    kinds, names = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()], ["id", "start", "end", "of", "of_start"]
+    left = None
     for batch in batches:
-        keys, sides = [], []
-        for a, b, lo_a, lo_b, side, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            key = (a, b, lo_a, lo_b)
-            if side == 0:
-                held = (key, raw)
-            elif held and held[0] == key:
-                keys.append(key)
-                sides.append((np.frombuffer(held[1], np.uint32), np.frombuffer(raw, np.uint32)))
-                held = None
+        both = batch if left is None else pa.Table.from_batches([left, batch]).combine_chunks().to_batches()[0]
+        left = both.slice(both.num_rows - 1)
+        a, b, lo_a, lo_b, side = (c.to_numpy() for c in both.columns[:5])
+        same = (side[:-1] == 0) & (side[1:] == 1)
+        for c in (a, b, lo_a, lo_b):
+            same &= c[1:] == c[:-1]
+        at = np.flatnonzero(same)
+        raw = both.column(5)
+        size = pc.binary_length(raw).to_numpy() // 4
+        long = np.maximum(size[at], size[at + 1]) >= 1 << _SPOT
         rows = []
-        for i in np.flatnonzero(_promising(sides)).tolist() if sides else ():
-            (a, b, lo_a, lo_b), (x, y) = keys[i], sides[i]
-            rows += [(a, lo_a + start, lo_a + end + SHINGLE - 1, b, lo_b + at) for start, end, at in shared_spans(x, y)]
-            rows += [(b, lo_b + start, lo_b + end + SHINGLE - 1, a, lo_a + at) for start, end, at in shared_spans(y, x)]
+        for i in at[long].tolist():
+            x, y = (np.frombuffer(raw[k].as_buffer(), np.uint32) for k in (i, i + 1))
+            rows += [(a[i], lo_a[i] + start, lo_a[i] + end + SHINGLE - 1, b[i], lo_b[i] + to) for start, end, to in shared_spans(x, y)]
+            rows += [(b[i], lo_b[i] + start, lo_b[i] + end + SHINGLE - 1, a[i], lo_a[i] + to) for start, end, to in shared_spans(y, x)]
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["id", "start", "end", "of", "of_start"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+        rest = at[~long]
+        for some in np.split(rest, np.flatnonzero(np.diff(np.cumsum(size[rest] + size[rest + 1] + 1) // SPANNED)) + 1):
+            pair, way, start, end, to = _all_spans(raw, some, some + 1)
+            if len(pair):
+                i, back = some[pair], way == 1
+                own, of = np.where(back, lo_b[i], lo_a[i]), np.where(back, lo_a[i], lo_b[i])
+                out = np.where(back, b[i], a[i]), own + start, own + end + SHINGLE - 1, np.where(back, a[i], b[i]), of + to
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(k.to_pandas_dtype())) for c, k in zip(out, kinds, strict=True)], names=names)
+
+
+def _joined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of which each goes on a word further than the one before, on either side, as one; rows come ordered by id, of, start."""
+    names, held = ["id", "start", "end", "of", "of_start"], None
+    for batch in batches:
+        columns = [c.to_numpy() for c in batch.columns]
+        if held is not None:
+            columns = [np.r_[h, c] for h, c in zip(held, columns, strict=True)]
+        own, start, end, of, of_start = columns
+        if not len(own):
+            continue
+        on = (own[1:] == own[:-1]) & (of[1:] == of[:-1]) & (end[1:] == end[:-1] + 1) & (of_start[1:] - start[1:] == of_start[:-1] - start[:-1])
+        first = np.flatnonzero(np.r_[True, ~on])
+        out = own[first], start[first], end[np.r_[first[1:] - 1, len(own) - 1]], of[first], of_start[first]
+        held = [c[-1:] for c in out]  # the last may go on
+        if len(first) > 1:
+            yield pa.RecordBatch.from_arrays([pa.array(c[:-1]) for c in out], names=names)
+    if held is not None:
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names=names)
 
 
 class _Sums:
@@ -797,10 +1002,7 @@ def links(df: DataFrame, id_col: str, text_col: str, small: int = SMALL) -> tupl
     the links (``id``, ``start``, ``end`` in words, ``of``, ``of_start``) between first ids; and scratch paths."""
     spark = df.sparkSession
     docs = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).filter("id IS NOT NULL")
-    # a split at white space has an empty part before a leading one, after a closing one, and for an empty text
-    space = r"[\x20\x09-\x0D]"
-    n_words = F.size(F.split("text", f"{space}+")) - F.expr("text = ''").cast("int") - F.rlike("text", F.lit(f"^{space}")).cast("int") - F.rlike("text", F.lit(f"{space}\\z")).cast("int")
-    light, light_path = written(docs.select("id", F.xxhash64("text").alias("text_id"), n_words.alias("n_words")), "texts")
+    light, light_path = written(docs.mapInArrow(_light, "id bigint, text_id bigint, n_words int"), "texts")
     firsts, firsts_path = written(light.groupBy("text_id").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies")), "firsts")
     # no window spans fewer words, and one hash of a row reaches each of its windows' groups
     pairs, pairs_path = written(
@@ -855,7 +1057,10 @@ def links(df: DataFrame, id_col: str, text_col: str, small: int = SMALL) -> tupl
     heads, heads_path = written(
         equal.groupBy("whole").agg(F.min(F.struct("id", "at")).alias("head"), F.max("id").alias("last")).filter("head.id <> last").select("whole", "head"), "heads"
     )
-    same = equal.join(heads, "whole").select("id", F.col("at").alias("start"), (F.col("at") + PASSAGE).alias("end"), F.col("head.id").alias("of"), F.col("head.at").alias("of_start"))
+    same = (
+        equal.join(heads, "whole").select("id", F.col("at").alias("start"), (F.col("at") + PASSAGE).alias("end"), F.col("head.id").alias("of"), F.col("head.at").alias("of_start"))
+        .repartition("id", "of").sortWithinPartitions("id", "of", "start").mapInArrow(_joined, "id bigint, start int, end int, of bigint, of_start int")
+    )
     found, found_path = written(near.unionAll(crowded).unionAll(same), "links")
     texts, texts_path = written(light.join(firsts, "text_id"), "texts")
     discard(spark, light_path, firsts_path, pairs_path, candidates_path, unlike_path, numbers_path, asked_path, cut_path, heads_path)

@@ -365,3 +365,80 @@ def test_crowded_windows_are_compared_in_all_pairs():
                 root = [min(root[i], root[j]) if x in (root[i], root[j]) else x for x in root]
         assert ours[i] == every and smaller[i] == less, i
     assert [crowd.find(i) for i in range(80)] == root and len(set(root)) > 1
+
+
+def test_pairs_are_verified_at_once(monkeypatch):
+    """As :func:`shared_spans` finds them one by one, which is left to very long stretches only."""
+    r = np.random.default_rng(9)
+    rows, expected = [], set()
+    for n in range(150):
+        x = r.integers(0, 1 << 32, int(r.integers(0, 160)), np.uint32) if n % 3 else np.tile(r.integers(0, 1 << 32, int(r.integers(1, 30)), np.uint32), 8)
+        y = np.r_[r.integers(0, 9, int(r.integers(0, 20)), np.uint32), x[int(r.integers(0, 5)) :]]
+        for _ in range(n % 6 if len(y) else 0):
+            at = int(r.integers(0, len(y)))
+            y = [np.delete(y, at), np.insert(y, at, 5), np.r_[y[:at], y[at + 1 :], y[:60]]][int(r.integers(0, 3))].astype(np.uint32)
+            if not len(y):
+                break
+        expected |= {(n, 7 + a, 7 + b + s.SHINGLE - 1, 1000 + n, 3 + c) for a, b, c in s.shared_spans(x, y)}
+        expected |= {(1000 + n, 3 + a, 3 + b + s.SHINGLE - 1, n, 7 + c) for a, b, c in s.shared_spans(y, x)}
+        rows += [(n, 1000 + n, 7, 3, k, v.tobytes()) for k, v in enumerate((x, y))]
+    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 3, pa.binary()]
+    whole = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["a", "b", "lo_a", "lo_b", "side", "raw"])
+
+    def found(step):
+        return {tuple(o.values()) for out in s._verified([whole.slice(i, step) for i in range(0, len(rows), step)]) for o in out.to_pylist()}
+
+    with monkeypatch.context() as m:
+        m.setattr(s, "shared_spans", None)
+        assert found(300) == found(7) == expected and len(expected) > 100
+        m.setattr(s, "SPANNED", 500)
+        assert found(300) == expected
+    monkeypatch.setattr(s, "_SPOT", 7)
+    assert found(300) == expected
+
+
+def test_long_exact_repeats_are_few_links(spark):
+    rows = [(i, f"{prose(i, 60)} {prose(900, 500)} {prose(5000 + i, 60)}") for i in range(12)]
+    _, found, _ = s.links(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    assert found.count() <= 40 * len(rows)  # not one a word
+    exact, _ = shared_words(rows)
+    ours = defaultdict(set)
+    for r in found.collect():
+        ours[r["id"]].update(range(r["start"], r["end"]))
+    assert all(exact[i] <= ours[i] for i in exact)
+
+
+@pytest.mark.parametrize("size", [1, 7, 1000])
+def test_links_that_go_on_are_joined(size):
+    r = np.random.default_rng(1)
+    rows = sorted({(int(i), int(a), int(a) + 50, int(of), int(a + d)) for i, a, of, d in zip(*(r.integers(0, n, 900) for n in (3, 90, 2, 2)), strict=True)}, key=lambda x: (x[0], x[3], x[1]))
+    whole = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["id", "start", "end", "of", "of_start"])
+    out = [tuple(o.values()) for part in s._joined([whole.slice(i, size) for i in range(0, len(rows), size)]) for o in part.to_pylist()]
+    words = lambda links: {(i, start + k, of, to + k) for i, start, end, of, to in links for k in range(end - start - 49)}
+    assert words(out) == words(rows) and len(out) < len(rows)
+
+
+def test_word_hashes():
+    r = random.Random(4)
+    texts = ["".join(r.choice(["a", "B", "é", "漢", "\0", " ", "\t", "\x0b", "\x1c"]) for _ in range(r.randrange(80))) for _ in range(2000)]
+    texts += ["", None, " ", "x" * 8, "x" * 9, "x" * 16, "x" * 17, "x" * 16 + "\0", "X" * 8, "x" * 8 + "\0"]
+    for array in (pa.array(texts), pa.array(texts).slice(11), pa.array([None, ""]), pa.array([], pa.string())):
+        h, counts = s.word_hashes(array)
+        words = [words_of(t) for t in array.to_pylist()]
+        assert counts.tolist() == list(map(len, words))
+        known = dict(zip((w for own in words for w in own), h.tolist(), strict=True))
+        assert [known[w] for own in words for w in own] == h.tolist() and len(set(known.values())) == len(known)
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_nearest_smaller_values(monkeypatch, rounds):
+    monkeypatch.setattr(s, "ROUNDS", rounds)
+    r = np.random.default_rng(2)
+    for values in (r.permutation(300), np.r_[np.arange(150), np.arange(150)[::-1] + 0.5]):
+        last = r.random(300) < 0.02
+        last[0] = True
+        ours = s._smaller(values, last, -1).tolist()
+        for i in range(300):
+            begin = max(k for k in range(i + 1) if last[k])
+            assert ours[i] == max((k for k in range(begin, i) if values[k] < values[i]), default=-1)
+        assert s._smaller(values[::-1], last[::-1], 1)[::-1].tolist() == [299 - k if k >= 0 else -1 for k in ours]
